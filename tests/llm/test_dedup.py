@@ -48,3 +48,87 @@ def test_exact_on_tables(spark, odd, empty):
         rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
         assert sorted([tuple(r) for r in dedup_exact.deduplicate(docs).collect()], key=str) == plain_groups(rows)
     assert dedup_exact.deduplicate(empty).count() == 0
+
+
+def plain_sets(rows):
+    out = {}
+    for doc_id, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+        out[doc_id] = {tuple(words[k : k + 5]) for k in range(len(words) - 4)} if len(words) >= 5 else ({tuple(words)} if words else set())
+    return out
+
+
+def plain_components(sets):
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    where = defaultdict(list)
+    for d, s in sets.items():
+        for x in s:
+            where[x].append(d)
+    pairs = {(a, b) for ds in where.values() for a in ds for b in ds if a < b}
+    for a, b in pairs:
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    return {d: find(d) for d in sets}
+
+
+def families():
+    """Copies with growing numbers of changed words, a large family around one text, and shared passages."""
+    rnd = random.Random(8)
+
+    def prose(n):
+        return [f"w{rnd.randint(0, 4000)}" for _ in range(n)]
+
+    texts, passage = [], prose(60)
+    for _ in range(12):
+        base = prose(rnd.choice([20, 60, 150]))
+        for changes in (0, 0, 1, 1, 2, 3, 4, 6):
+            t = list(base)
+            for _ in range(changes):
+                t[rnd.randrange(len(t))] = f"x{rnd.randint(0, 9999)}"
+            texts.append(" ".join(t))
+    base = prose(150)
+    for _ in range(150):
+        t = list(base)
+        for _ in range(rnd.randint(1, 4)):
+            t[rnd.randrange(len(t))] = f"y{rnd.randint(0, 9999)}"
+        texts.append(" ".join(t))
+    texts += [" ".join(prose(40) + passage + prose(40)) for _ in range(30)]
+    texts += ["a b c d", "A  b c D", "a b c", "", " \n", None, "one", "ONE"]
+    rnd.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_near_equals_plain(spark, monkeypatch, block):
+    from skylattice.llm import dedup_near
+
+    monkeypatch.setattr(dedup_near, "BLOCK", block)
+    rows = list(enumerate(families()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sets = plain_sets(rows)
+    want = plain_components(sets)
+    got = {r.doc_id: r for r in dedup_near.link(docs).collect()}
+    assert got.keys() == want.keys()
+    for d in want:
+        assert (got[d].n_shingles, got[d].component_id, got[d].kept) == (len(sets[d]), want[d], want[d] == d)
+
+
+def test_near_on_tables(spark, odd, empty):
+    from skylattice.llm import dedup_near
+
+    for docs in (odd, spark.read.parquet(f"{SF}/documents.parquet")):
+        rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+        want = plain_components(plain_sets(rows))
+        assert {r.doc_id: r.component_id for r in dedup_near.link(docs).collect()} == want
+    assert dedup_near.link(empty).count() == 0
+    loose = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f")], "doc_id long, text string")
+    assert sorted(tuple(r)[:4] for r in dedup_near.link(loose).collect() if r.doc_id) == [(4, 2, 4, True)] * 2
+    assert dedup_near.link(loose).count() == 4
