@@ -64,3 +64,93 @@ def test_undetermined_and_odd_rows(spark, odd, empty, table):
     assert {r.lang_pred for r in langid.predict(odd, nothing).collect()} == {"und"}
     with pytest.raises(ValueError):
         langid.fit(table, langid.default_vocabulary(), max_languages=2)
+
+
+def plain_scores(rows, head, histories, arcs):
+    """The same model with dictionaries and one step per token."""
+    from collections import Counter
+
+    def tokens(text):
+        return [w.lower() if w.isascii() else "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in _split(text)] + [None]
+
+    def out(doc_id):
+        return doc_id is None or zlib.crc32(str(doc_id).encode()) % 7 == 2
+
+    c, pairs = Counter(), Counter()
+    learn = [tokens(t) for d, t in rows if not out(d)]
+    for ts in learn:
+        c.update(ts)
+    n, v = sum(c.values()), len(c)
+
+    def most(counter, limit, least):
+        sizes = Counter(math.floor(16 * math.log2(k)) for k in counter.values() if k >= least)
+        total, cut = 0, 10**9
+        for b in sorted(sizes, reverse=True):
+            total += sizes[b]
+            if total > limit:
+                break
+            cut = b
+        return {x for x, k in counter.items() if k >= least and math.floor(16 * math.log2(k)) >= cut}
+
+    top = most(c, head, 1)
+    if histories < len(top):
+        raise AssertionError("ties at the histories' end are broken by hash")
+    for ts in learn:
+        for h, w in zip([None, *ts], ts):
+            if h in top and w in top:
+                pairs[h, w] += 1
+    kept = most(pairs, arcs, 2)
+    p1 = {w: (k + 1) / (n + v + 1) for w, k in c.items()}
+    left, lower = Counter(), Counter()
+    for h, w in kept:
+        left[h] += (pairs[h, w] - 0.75) / c[h]
+        lower[h] += p1[w]
+    got = {}
+    for d, t in rows:
+        ts = tokens(t)
+        base = sum(math.log10(p1.get(w, 1 / (n + v + 1))) for w in ts)
+        score = 0.0
+        for h, w in zip([None, *ts], ts):
+            if (h, w) in kept:
+                score += math.log10((pairs[h, w] - 0.75) / c[h])
+            else:
+                score += math.log10((1 - left[h]) / (1 - lower[h])) + math.log10(p1.get(w, 1 / (n + v + 1)))
+        got.setdefault(d, []).append((out(d), len(ts), sum(w in c for w in ts), n, base, score))
+    return got
+
+
+def _split(text):
+    import re
+
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+@pytest.mark.parametrize("head,arcs", [(400_000, 500_000), (300, 200), (40, 10), (0, 0)])
+def test_scores_equal_the_plain_automaton(spark, odd, head, arcs):
+    from skylattice.llm import lm
+
+    for docs in (odd, spark.read.parquet(f"{SF}/documents.parquet")):
+        rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+        want = plain_scores(rows, head, 1 << 16, arcs)
+        got = lm.train_and_score(docs, head=head, arcs=arcs).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert any(tuple(r)[1:5] == w[:4] and math.isclose(r.base_score, w[4], rel_tol=1e-9, abs_tol=1e-9) and math.isclose(r.score, w[5], rel_tol=1e-9, abs_tol=1e-9) for w in want[r.doc_id])
+
+
+def test_states_probabilities_add_up_and_help(spark, table, empty):
+    from skylattice.llm import lm
+
+    got = lm.train_and_score(table).collect()
+    held = [r for r in got if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)  # better than unigrams on unseen rows
+    model, counts = lm.fit(table)
+    history = model.arcs >> 32
+    token = model.arcs & 0xFFFFFFFF
+    for h in np.unique(history)[:20]:
+        mine = history == h
+        total = (10 ** model.weights[mine]).sum() + 10 ** model.failure[h] * (1 - (10 ** model.root(model.counts[token[mine]])).sum())
+        assert abs(total - 1) < 1e-9
+    assert lm.train_and_score(empty).count() == 0
+    rows = spark.createDataFrame([(None, "a b"), (None, None)], "doc_id long, text string")
+    assert {(r.held_out, r.base_score) for r in lm.train_and_score(rows).collect()} == {(True, 0.0)}
