@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from skylattice.llm import bpe, dedup_exact, dedup_near, langid, lm, packing, pii, quality, secret_scan, token_store
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_byte_bpe": bpe.query,
     "op9_language_id": langid.query,
     "op10_secret_scan": secret_scan.query,
+    "pipeline": corpus_pipeline.run,
 }
 SQL = {
     "op5_exact_dedup": dedup_exact.SQL,
