@@ -1,13 +1,14 @@
 """Whole-text encoding with the tokenizers library, a chunk of text at a time.
 
 Both kinds of vocabulary used here split text before merging and no pre-token goes on past a whitespace that follows a
-non-whitespace, so a text's ids are the ids of its chunks in order. Chunks repeat: each distinct chunk of a slice is
+non-whitespace, or from a letter to a mark, so a text's ids are the ids of its chunks in order. Chunks repeat: each distinct chunk of a slice is
 looked up once in a bounded memo and only unseen ones reach the library.
 """
 
 from __future__ import annotations
 
 import os
+from array import array
 
 import numpy as np
 
@@ -17,7 +18,7 @@ _encoders: dict = {}
 
 
 class ChunkEncoder:
-    def __init__(self, path: str, spaces: bool, limit: int = 250_000) -> None:
+    def __init__(self, path: str, spaces: bool, limit: int = 400_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -35,12 +36,12 @@ class ChunkEncoder:
         _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
         raw = data.tobytes()
         keys = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        values = list(map(self.memo.get, keys))
+        values = self.memo.many(keys)
         missing = [k for k, v in enumerate(values) if v is None]
         for at in range(0, len(missing), 4096):
             part = missing[at : at + 4096]
             for k, e in zip(part, self.tokenizer.encode_batch_fast([keys[k].decode() for k in part], add_special_tokens=False), strict=True):
-                values[k] = np.array(e.ids, np.int32).tobytes()
+                values[k] = array("i", e.ids).tobytes()
                 if len(keys[k]) <= 64:
                     self.memo.put(keys[k], values[k])
         lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4

@@ -27,6 +27,9 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
+_BYTES = np.arange(256)
+_LETTER = ((_BYTES >= 65) & (_BYTES <= 90)) | ((_BYTES >= 97) & (_BYTES <= 122))
+_MARK = (_BYTES >= 33) & (_BYTES <= 126) & ~_LETTER & ~((_BYTES >= 48) & (_BYTES <= 57))
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,7 +111,8 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[n
 def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """As words(), but each with the whitespace before it, and a document's trailing whitespace as one more.
 
-    No cut follows a byte that may end a Unicode space, so that runs of mixed whitespace stay together.
+    There is a further cut between an ASCII letter and an ASCII mark. No cut follows a byte that may end a Unicode space,
+    so that runs of mixed whitespace stay together.
     """
     return _spans(data, offsets, None, True)
 
@@ -130,6 +134,7 @@ def _spans(data, offsets, fold, lead):
                 odd[1:] &= np.isin(part[:-1], (0xC2, 0x80, 0x81, 0x9A))
                 odd |= (part >= 0x1C) & (part <= 0x1F)
                 stop[1:-1] &= ~odd[:-1]
+            stop[1:-1] |= _MARK[part[1:]] & _LETTER[part[:-1]]
             cuts = np.flatnonzero(stop | edge)
             starts, ends = cuts[:-1], cuts[1:]
         else:
@@ -192,10 +197,17 @@ class Memo:
         self.limit, self.new, self.old = limit, {}, {}
 
     def get(self, key):
-        value = self.new.get(key)
-        if value is None and (value := self.old.get(key)) is not None:
-            self.put(key, value)
-        return value
+        return self.many([key])[0]
+
+    def many(self, keys: list) -> list:
+        """The values of all keys, None for those that are not there."""
+        values = list(map(self.new.get, keys))
+        if None in values and self.old:
+            for k in [k for k, v in enumerate(values) if v is None]:
+                if (value := self.old.get(keys[k])) is not None:
+                    values[k] = value
+                    self.put(keys[k], value)
+        return values
 
     def put(self, key, value) -> None:
         if len(self.new) >= self.limit:

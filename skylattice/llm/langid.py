@@ -63,7 +63,7 @@ def _count(path: str):
                 names = sorted(set(langs))
                 of = np.array([names.index(x) for x in langs])
                 doc, number, words = _unique_words(rows)
-                pieces = list(map(memo.get, words))
+                pieces = memo.many(words)
                 missing = [k for k, v in enumerate(pieces) if v is None]
                 for k, ids in zip(missing, sp.encode([words[k].decode() for k in missing], num_threads=1), strict=True):
                     pieces[k] = np.array(ids, np.int32)
