@@ -31,43 +31,16 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Positions by rank; pop() gives the lowest rank's leftmost position."""
+    """Positions by rank: buckets, and bitmaps of three levels over the ranks whose buckets hold any.
+
+    `spots` gives a rank's word and bit at each level, so that marking it takes three ORs.
+    """
 
     def __init__(self, ranks: int) -> None:
         self.low = [0] * (ranks // 64 + 1)
         self.mid = [0] * (ranks // 4096 + 1)
-        self.top = 0
         self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            word = rank >> 6
-            if not self.low[word]:
-                if not self.mid[word >> 6]:
-                    self.top |= 1 << (word >> 6)
-                self.mid[word >> 6] |= 1 << (word & 63)
-            self.low[word] |= 1 << (rank & 63)
-        else:
-            heappush(bucket, position)
-
-    def pop(self) -> tuple[int, int]:
-        high = (self.top & -self.top).bit_length() - 1
-        bits = self.mid[high]
-        word = (high << 6) + (bits & -bits).bit_length() - 1
-        bits = self.low[word]
-        rank = (word << 6) + (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[word] &= bits - 1
-            if not self.low[word]:
-                self.mid[high] &= self.mid[high] - 1
-                if not self.mid[high]:
-                    self.top &= self.top - 1
-        return rank, position
+        self.spots = [(r >> 6, 1 << (r & 63), r >> 12, 1 << (r >> 6 & 63), 1 << (r >> 12)) for r in range(ranks)]
 
 
 class Bpe:
@@ -79,109 +52,136 @@ class Bpe:
         # \s is White_Space for the original pattern's engine; that of `regex` has four controls more
         self.split = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
         self.queue = RankQueue(max(ranks.values()) + 1)
-        self.memo = _text.Memo(100_000)
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """The ids of one pre-token."""
-        ranks = self.ranks
-        if (whole := ranks.get(piece)) is not None:
+        find = self.ranks.get
+        if (whole := find(piece)) is not None:
             return [whole]
         n = len(piece)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = [-1] * n
-        queue = self.queue
+        after, before, pair = list(range(1, n + 1)), list(range(-1, n - 1)), [-1] * n
+        low, mid, buckets, spots = self.queue.low, self.queue.mid, self.queue.buckets, self.queue.spots
+        top = 0
         for k in range(n - 1):
-            if (rank := ranks.get(piece[k : k + 2])) is not None:
+            rank = find(piece[k : k + 2])
+            if rank is not None:
                 pair[k] = rank
-                queue.push(rank, k)
-        while queue.top:
-            rank, k = queue.pop()
+                if rank in buckets:
+                    buckets[rank].append(k)  # positions rise, so the bucket stays a heap
+                else:
+                    buckets[rank] = [k]
+                    a, x, b, y, z = spots[rank]
+                    low[a] |= x
+                    mid[b] |= y
+                    top |= z
+        while top:
+            # find-first-set, level by level
+            b = (top & -top).bit_length() - 1
+            bits = mid[b]
+            a = (b << 6) + (bits & -bits).bit_length() - 1
+            bits = low[a]
+            rank = (a << 6) + (bits & -bits).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                k = heappop(bucket)
+            else:
+                k = bucket[0]
+                del buckets[rank]
+                low[a] = bits = bits & (bits - 1)
+                if not bits:
+                    mid[b] = bits = mid[b] & (mid[b] - 1)
+                    if not bits:
+                        top &= top - 1
             if pair[k] != rank:
                 continue  # stale
             gone = after[k]
             end = after[gone]
             after[k] = end
             pair[gone] = pair[k] = -1
+            left = before[k]
+            fresh = []
             if end < n:
                 before[end] = k
-                if (new := ranks.get(piece[k : after[end]])) is not None:
-                    pair[k] = new
-                    queue.push(new, k)
-            if (left := before[k]) >= 0:
-                new = ranks.get(piece[left:end])
-                pair[left] = -1 if new is None else new
+                new = find(piece[k : after[end]])
                 if new is not None:
-                    queue.push(new, left)
+                    pair[k] = new
+                    fresh.append((new, k))
+            if left >= 0:
+                new = find(piece[left:end])
+                if new is None:
+                    pair[left] = -1
+                else:
+                    pair[left] = new
+                    fresh.append((new, left))
+            for new, k in fresh:
+                if new in buckets:
+                    heappush(buckets[new], k)
+                else:
+                    buckets[new] = [k]
+                    a, x, b, y, z = spots[new]
+                    low[a] |= x
+                    mid[b] |= y
+                    top |= z
         ids, k = [], 0
         while k < n:
-            ids.append(ranks[piece[k : after[k]]])
+            ids.append(find(piece[k : after[k]]))
             k = after[k]
         return ids
 
     def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        for piece in self.split(text):
-            key = piece.encode()
-            found = self.memo.get(key)
-            if found is None:
-                found = self.encode_piece(key)
-                if len(key) <= 64:
-                    self.memo.put(key, found)
-            ids += found
-        return ids
+        return [x for piece in self.split(text) for x in self.encode_piece(piece.encode())]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+#: Bytes of text handled at once: chunks repeat, so a larger slice has fewer to look up.
+_SLICE = 6 << 20
 _loaded: dict[str, tuple[Bpe, _text.Memo]] = {}
 
 
 def _worker(path: str) -> tuple[Bpe, _text.Memo]:
+    """Of a worker process: the encoder, and chunks' ids as decimals joined by spaces."""
     if path not in _loaded:
-        _loaded[path] = Bpe(load_ranks(path), public_tokenizers.PATTERN), _text.Memo(200_000)
+        _loaded[path] = Bpe(load_ranks(path), public_tokenizers.PATTERN), _text.Memo(450_000)
     return _loaded[path]
 
 
-def _chunk_ids(rows: pa.RecordBatch, path: str) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
-    """Offsets of the documents in a list of chunks, each chunk as a number, and the ids of each number.
+def _chunks(rows: pa.RecordBatch, path: str) -> tuple[list[tuple[int, int]], np.ndarray, list[bytes], list[bytes]]:
+    """Each document's first and last in the list of chunks, each chunk as a number, and of the numbers the ids and what they decode to.
 
-    No pre-token goes on past a whitespace that follows a non-whitespace, so a text's ids are its chunks' ids in order.
+    No pre-token goes on past a whitespace that follows a non-whitespace, or from a letter to a mark, so a text's ids
+    are its chunks' ids in order. A chunk's ids are decoded when they are made, and again only if that gave other bytes.
     """
     bpe, memo = _worker(path)
     data, offsets = _text.buffer(rows["text"])
     doc, h, starts, ends = _text.chunks(data, offsets)
     _, first, number = np.unique(h, return_index=True, return_inverse=True)
     raw = data.tobytes()
-    values = []
-    for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True):
-        key = raw[a:b]
-        found = memo.get(key)
-        if found is None:
-            found = bpe.encode(key.decode())
-            if b - a <= 64:
-                memo.put(key, found)
-        values.append(found)
-    return np.searchsorted(doc, np.arange(rows.num_rows + 1)), number, values
+    keys = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+    shown, bare = memo.many(keys), keys.copy()
+    for k in [k for k, v in enumerate(shown) if v is None]:
+        ids = bpe.encode(keys[k].decode())
+        shown[k], bare[k] = " ".join(map(str, ids)).encode(), bpe.decode(ids)
+        if len(keys[k]) <= 64 and bare[k] == keys[k]:
+            memo.put(keys[k], shown[k])
+    at = np.searchsorted(doc, np.arange(rows.num_rows + 1)).tolist()
+    return list(zip(at[:-1], at[1:], strict=True)), number, shown, bare
 
 
 def _run(path: str, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in _text.slices(batch):
-                at, number, values = _chunk_ids(rows, path)
-                bpe, _ = _worker(path)
-                bounds = list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
-                lengths = np.fromiter(map(len, values), np.int64, len(values))
-                total = np.concatenate([[0], np.cumsum(lengths[number])])
-                counts = pa.array(total[at[1:]] - total[at[:-1]])
+            for rows in _text.slices(batch, limit=_SLICE):
+                bounds, number, shown, bare = _chunks(rows, path)
+                numbers = number.tolist()
+                lists = [b" ".join(map(shown.__getitem__, numbers[a:b])) for a, b in bounds]
+                counts = pa.array([x.count(b" ") + 1 if x else 0 for x in lists], pa.int64())
                 if not digest:
-                    ids = [[x for k in number[a:b].tolist() for x in values[k]] for a, b in bounds]
+                    ids = [np.fromstring(x, np.int32, sep=" ") if x else np.zeros(0, np.int32) for x in lists]
                     yield pa.RecordBatch.from_arrays([rows["doc_id"], counts, pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "n_tokens", "ids"])
                     continue
-                shown, bare = [" ".join(map(str, x)).encode() for x in values], [bpe.decode(x) for x in values]
-                numbers = number.tolist()
-                ids_sha = [hashlib.sha256(b" ".join(map(shown.__getitem__, numbers[a:b]))).hexdigest() for a, b in bounds]
+                ids_sha = [hashlib.sha256(x).hexdigest() for x in lists]
                 text_sha = [hashlib.sha256(b"".join(map(bare.__getitem__, numbers[a:b]))).hexdigest() for a, b in bounds]
                 yield pa.RecordBatch.from_arrays([rows["doc_id"], counts, pa.array(ids_sha), pa.array(text_sha)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
