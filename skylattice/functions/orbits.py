@@ -11,8 +11,10 @@ from skylattice.functions.sky import AU_KM, DAY_S, ECLIPTIC
 #: Fixed values.
 A_JUPITER = 5.2044
 GM_SUN_KM3_S2 = 1.32712440018e11
-#: Earth's mean orbit at J2000: a (AU), e, inclination, node, argument of perihelion (degrees).
-EARTH_J2000 = (1.00000011, 0.01671022, 0.00005, -11.26064, 102.94719 + 11.26064)
+#: Earth's orbit for distances between orbits: a (AU), e, inclination, node, argument of perihelion (degrees).
+EARTH_J2000 = (1.00000011, 0.01671022, 0.00005, -11.26064, 102.94719)
+#: The same with 102.94719 as the longitude of perihelion, which it is for the planet; positions of Earth use this one.
+EARTH_MEAN = (1.00000011, 0.01671022, 0.00005, -11.26064, 102.94719 + 11.26064)
 GAUSS_K = 0.01720209895
 LIGHT_AU_DAY = 173.1446326846693
 
@@ -80,7 +82,7 @@ def two_body(a, e, inc, node, peri, mean_anomaly_deg, epoch, t) -> tuple[np.ndar
 
 def earth(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Earth's heliocentric equatorial position (AU) and velocity (AU/day) from its mean orbit."""
-    a, e, i, o, w = EARTH_J2000
+    a, e, i, o, w = EARTH_MEAN
     t = np.asarray(t, float)
     one = np.ones_like(t)
     return two_body(a * one, e * one, i * one, o * one, w * one, 357.51716 * one, 51544.5, t)

@@ -77,7 +77,7 @@ def histogram(rows: DataFrame, x: str, low: float, high: float, bins: int) -> Da
 
 def checksum(rows: DataFrame, *columns: str) -> DataFrame:
     """Row count and an order-free sum of the columns' hashes; equal for equal tables."""
-    return rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("checksum"))
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64(*(columns or rows.columns)).cast("decimal(38,0)")).alias("checksum"))
 
 
 def text_sizes(rows: DataFrame) -> DataFrame:

@@ -77,7 +77,7 @@ class MoidSolver:
         return float(np.sqrt(found.min())), float(np.linalg.norm(dv)), float(np.degrees(np.arctan2(r[1], r[0])) % 360), float(np.degrees(f[0])), float(np.degrees(f[1]))
 
 
-def with_moid(rows: DataFrame, solver: MoidSolver = MoidSolver(), partitions: int | None = None) -> DataFrame:
+def with_moid(rows: DataFrame, solver: MoidSolver = MoidSolver(), partitions: int | None = None, earth: tuple[float, ...] = orbits.EARTH_J2000) -> DataFrame:
     """`rows` (with q, e, i, node, argperi) and the distance to Earth's orbit. An orbit table is small beside its cost, so it is dealt out first."""
     names = rows.columns
     dealt = rows.repartition(partitions) if partitions else rows.repartition(*[c for c in names if c in ("designation", "object_id")][:1] or names[:1])
@@ -86,7 +86,7 @@ def with_moid(rows: DataFrame, solver: MoidSolver = MoidSolver(), partitions: in
         for part in parts:
             found = []
             for q, e, i, node, peri in part[["q", "e", "i", "node", "argperi"]].astype(float).itertuples(index=False):
-                found.append(solver.solve(orbits.EARTH_J2000, (q / (1 - e) if e != 1 else np.nan, e, i, node, peri)))
+                found.append(solver.solve(earth, (q / (1 - e) if e != 1 else np.nan, e, i, node, peri)))
             out = pd.DataFrame(found, columns=[c.split()[0] for c in SCHEMA.split(", ")], index=part.index, dtype=float)
             yield pd.concat([part, out], axis=1)
 
