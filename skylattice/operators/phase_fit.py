@@ -108,5 +108,51 @@ def fit_hg12(rows: DataFrame, keys: list[str], order: Column, mag: Column, sigma
     return fitted.select(*keys, *[F.nanvl(c.split()[0], F.lit(None).cast("double")).alias(c.split()[0]) if "double" in c else F.col("n_used") for c in FIT.split(", ")])
 
 
+#: What fit_bands gives for each band b, as b_name.
+BAND_FIT = ("H", "HErr", "G12", "G12Err", "H_G12_Cov", "Chi2", "nObsUsed")
+
+
+def observation(band: Column, order: Column, mag: Column, sigma: Column, phase: Column) -> Column:
+    """What fit_bands expects to be collected per object."""
+    return F.struct(order.alias("o"), band.alias("band"), mag.cast("double").alias("mag"), sigma.cast("double").alias("sigma"), phase.cast("double").alias("phase"))
+
+
+def fit_bands(grouped: DataFrame, bands: str, obs: str = "obs", min_obs: int = 2, min_span: float = 0.0, chi2_per_dof: bool = False) -> DataFrame:
+    """`grouped` without its array of observations, with BAND_FIT of every band; NULL where a band has too few.
+
+    The array comes from the same grouping as an object's other aggregates, so fits need no shuffle and no join.
+    """
+    usable = F.filter(F.array_sort(obs), lambda o: (o["sigma"] > 0) & o["phase"].isNotNull() & ~F.isnan(o["phase"]) & (o["mag"] < float("inf")))
+    rest = [c for c in grouped.columns if c != obs]
+    split = grouped.select(*rest, usable.alias(obs)).select(*rest, *[F.filter(obs, _of_band(b)).alias(f"{obs}_{b}") for b in bands])
+    flat = split.select(*rest, *[F.col(f"{obs}_{b}.{name}").alias(f"{b}_{name}") for b in bands for name in ("mag", "sigma", "phase")])
+    fields = [T.StructField(f"{b}_{name}", T.IntegerType() if name == "nObsUsed" else T.DoubleType()) for b in bands for name in BAND_FIT]
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            out = {c: part[c] for c in rest}
+            for b in bands:
+                columns = [part[f"{b}_{name}"] for name in ("mag", "sigma", "phase")]
+                sizes = columns[0].map(len).to_numpy(int)
+                span = np.array([np.ptp(x) if len(x) else 0.0 for x in columns[2]])
+                tried = (sizes >= min_obs) & ((span > min_span) if min_span > 0 else True)
+                found = np.full((len(part), 6), np.nan)
+                found[tried] = fit_groups(*[np.concatenate([np.zeros(0), *c[tried]]) for c in columns], sizes[tried])
+                chi2 = np.where(sizes > 2, 2 * found[:, 5] / np.maximum(sizes - 2, 1), np.nan) if chi2_per_dof else found[:, 5]
+                for name, values in zip(BAND_FIT, (found[:, 0], found[:, 2], found[:, 1], found[:, 3], found[:, 4], chi2), strict=False):
+                    out[f"{b}_{name}"] = values
+                used = pd.array(np.where(np.isnan(found[:, 1]), 0, sizes), "Int32")
+                used[~tried] = pd.NA
+                out[f"{b}_nObsUsed"] = used
+            yield pd.DataFrame(out)
+
+    kept = [grouped.schema[c] for c in rest]
+    return flat.mapInPandas(run, T.StructType([*[T.StructField(f.name, f.dataType) for f in kept], *fields]))
+
+
+def _of_band(band: str):
+    return lambda o: o["band"] == band
+
+
 def _field(name: str) -> Column:
     return F.col(f"obs.{name}").alias(name)

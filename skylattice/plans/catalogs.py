@@ -14,11 +14,10 @@ from skylattice.operators import aggregates, linkage
 from skylattice.operators import ephemeris as eph
 from skylattice.operators import relational as R
 from skylattice.operators.moid import MoidSolver, with_moid
-from skylattice.operators.phase_fit import fit_hg12
+from skylattice.operators.phase_fit import fit_bands, observation
 from skylattice.sources import readers
 
 ORBIT_COLUMNS = ("unpacked_primary_provisional_designation", "q", "e", "i", "node", "argperi")
-BAND_FIT = ("nObs", "H", "HErr", "G12", "G12Err", "H_G12_Cov", "nObsUsed", "Chi2", "phaseAngleMin", "phaseAngleMax", "slope_fit_failed")
 
 
 def typed(df: DataFrame, schema) -> DataFrame:
@@ -63,8 +62,9 @@ def observations(sss: DataFrame, dia: DataFrame) -> DataFrame:
 
 
 def object_aggregates(rows: DataFrame) -> DataFrame:
-    """All per-object and per-band aggregates in one grouping."""
+    """All per-object and per-band aggregates, and the observations to fit, in one grouping."""
     ext, phase = aggregates.no_nan(F.col("extendedness")), aggregates.no_nan(F.col("phaseAngle"))
+    reduced = F.col("mag") - 5 * F.log10(F.col("topoRange").cast("double") * F.col("helioRange"))
     bands = []
     for b in schemas.BANDS:
         here = F.col("band") == b
@@ -78,22 +78,10 @@ def object_aggregates(rows: DataFrame) -> DataFrame:
         F.max(ext).alias("extendednessMax"),
         F.median(ext).alias("extendednessMedian"),
         *bands,
+        F.collect_list(observation(F.col("band"), F.col("diaSourceId"), reduced, F.col("magErr"), F.col("phaseAngle"))).alias("obs"),
     )
 
 
-def band_fits(rows: DataFrame, min_obs: int = 2, min_span: float = 0.0, chi2_per_dof: bool = False) -> DataFrame:
-    """One row per object with the fits of all bands; chi2, or with `chi2_per_dof` twice its ratio to the degrees of freedom."""
-    reduced = F.col("mag") - 5 * F.log10(F.col("topoRange").cast("double") * F.col("helioRange"))
-    fits = fit_hg12(rows, ["ssObjectId", "band"], F.col("diaSourceId"), reduced, F.col("magErr"), F.col("phaseAngle").cast("double"), min_obs, min_span)
-    value = {"H": "H", "HErr": "HErr", "G12": "G12", "G12Err": "G12Err", "H_G12_Cov": "H_G12_Cov", "nObsUsed": "n_used"}
-    columns = []
-    for b in schemas.BANDS:
-        here = F.col("band") == b
-        columns += [F.max(F.when(here, F.col(v))).alias(f"{b}_{b}_cov" if k == "H_G12_Cov" else f"{b}_{k}") for k, v in value.items()]
-        columns.append(F.max(F.when(here, 2 * F.col("chi2dof") if chi2_per_dof else F.col("chi2"))).alias(f"{b}_Chi2"))
-    return fits.groupBy("ssObjectId").agg(*columns)
-
-
 def build_ssobject(sss: DataFrame, dia: DataFrame, orbit_table: DataFrame, solver: MoidSolver = MoidSolver(), sentinels: bool = False, **fit) -> DataFrame:
     """The per-object catalogue. Values that can't be had are NULL, or with `sentinels` what zero-filled records hold."""
     rows = observations(R.nonnegative(sss, "ssObjectId", "diaSourceId"), R.nonnegative(dia, "diaSourceId"))
@@ -103,9 +91,9 @@ def build_ssobject(sss: DataFrame, dia: DataFrame, orbit_table: DataFrame, solve
         orbits.tisserand_jupiter(orbits.semi_major_axis(F.col("q"), F.col("e")), F.col("e"), F.col("i")).alias("tisserand_J"),
         *[F.nanvl(c, F.lit(None).cast("double")).alias(n) for c, n in (("moid", "MOIDEarth"), ("delta_v", "MOIDEarthDeltaV"), ("ecliptic_longitude", "MOIDEarthEclipticLongitude"), ("true_anomaly_earth", "MOIDEarthTrueAnomaly"), ("true_anomaly_object", "MOIDEarthTrueAnomalyObject"))],
     )
-    objects = object_aggregates(rows).join(band_fits(rows, **fit), "ssObjectId", "left").join(orbit, "designation", "left")
+    objects = fit_bands(object_aggregates(rows), schemas.BANDS, **fit).join(orbit, "designation", "left")
     failed = {f"{b}_slope_fit_failed": F.coalesce(F.col(f"{b}_nObsUsed") == 0, F.lit(False)) for b in schemas.BANDS}
-    objects = objects.withColumnsRenamed({f"{b}_{b}_cov": f"{b}_H_{b}_G12_Cov" for b in schemas.BANDS}).withColumns(failed)
+    objects = objects.withColumnsRenamed({f"{b}_H_G12_Cov": f"{b}_H_{b}_G12_Cov" for b in schemas.BANDS}).withColumns(failed)
     return typed(with_sentinels(objects) if sentinels else objects, schemas.SS_OBJECT)
 
 
