@@ -452,7 +452,7 @@ def _positions_sql(source: str) -> str:
 @query(
     with_views(
         A.ORBITS,
-        "el AS (SELECT object_id AS id, q / (1 - e) AS a, e, radians(i) AS i, radians(node) AS o, radians(argperi) AS w FROM orbits WHERE object_id <= 40)",
+        "el AS (SELECT object_id AS id, q / (1 - e) AS a, e, radians(i) AS i, radians(node) AS o, radians(argperi) AS w FROM orbits)",
         f"ea AS (SELECT 0 AS id, {_E[0]!r}::DOUBLE AS a, {_E[1]!r}::DOUBLE AS e, radians({_E[2]!r}::DOUBLE) AS i, radians({_E[3]!r}::DOUBLE) AS o, radians({_E[4]!r}::DOUBLE) AS w)",
         f"pa AS ({_positions_sql('ea')})",
         f"pb AS ({_positions_sql('el')})",
@@ -460,7 +460,7 @@ def _positions_sql(source: str) -> str:
     + f"SELECT pb.id AS object_id, {m('sqrt(min(power(pa.x - pb.x, 2) + power(pa.y - pb.y, 2) + power(pa.z - pb.z, 2)))')} AS distance FROM pa, pb GROUP BY pb.id"
 )
 def moid_level0_grid(spark, sf):
-    """The coarse grid as a plan; its few orbits are the query's own, as the grid multiplies each by 4096."""
+    """The coarse grid as a plan: each orbit meets a grid of fixed size, 64 x 64 anomalies."""
     anomalies = spark.range(_N).select(((F.col("id") + 0.5) / _N * 2 * math.pi).alias("f"))
 
     def place(df: DataFrame, tag: str) -> DataFrame:
@@ -471,7 +471,7 @@ def moid_level0_grid(spark, sf):
         return df.crossJoin(F.broadcast(anomalies)).select("object_id", *[(r * (F.cos("f") * p[k] + F.sin("f") * q[k])).alias(f"{tag}{c}") for k, c in enumerate("xyz")])
 
     earth = spark.createDataFrame([(0, *map(float, _E))], "object_id long, a double, e double, i double, node double, argperi double")
-    other = A.orbit_table(spark, sf).where("object_id <= 40").withColumn("a", orbits.semi_major_axis(F.col("q"), F.col("e")))
+    other = A.orbit_table(spark, sf).withColumn("a", orbits.semi_major_axis(F.col("q"), F.col("e")))
     pairs = place(other, "b").crossJoin(F.broadcast(place(earth, "a").drop("object_id")))
     gap = sum((F.pow(F.col(f"a{c}") - F.col(f"b{c}"), F.lit(2)) for c in "yz"), F.pow(F.col("ax") - F.col("bx"), F.lit(2)))
     return pairs.groupBy("object_id").agg(micro(F.sqrt(F.min(gap))).alias("distance"))

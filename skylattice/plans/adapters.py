@@ -35,21 +35,21 @@ SOURCES = """sources AS (SELECT event_id AS source_id, user_id AS object_id, epo
 
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reported detections: not all sources; every third one without a provisional designation."""
-    s = sources(spark, sf_dir).where("source_id % 7 <> 0")
+    """Reported detections: those of all bands but u; every third one is without a provisional designation."""
+    s = sources(spark, sf_dir).where("band <> 'u'")
     return s.select(F.col("source_id").alias("obssubid"), F.when(F.col("source_id") % 3 != 0, F.concat(F.lit("P"), F.col("object_id").cast("string"))).alias("provid"), F.col("object_id").cast("string").alias("permid"))
 
 
 DETECTIONS = """detections AS (SELECT source_id AS obssubid, CASE WHEN source_id % 3 <> 0 THEN 'P' || object_id::VARCHAR END AS provid,
-  object_id::VARCHAR AS permid FROM sources WHERE source_id % 7 <> 0)"""
+  object_id::VARCHAR AS permid FROM sources WHERE band <> 'u')"""
 
 
 def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where("c_custkey % 5 <> 0")
+    c = table(spark, sf_dir, "customer").where("c_acctbal >= 0")
     return c.select(F.col("c_custkey").cast("string").alias("permid"), F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("unpacked_primary_provisional_designation"))
 
 
-NUMBERED = "numbered AS (SELECT c_custkey::VARCHAR AS permid, 'P' || c_custkey::VARCHAR AS unpacked_primary FROM customer WHERE c_custkey % 5 <> 0)"
+NUMBERED = "numbered AS (SELECT c_custkey::VARCHAR AS permid, 'P' || c_custkey::VARCHAR AS unpacked_primary FROM customer WHERE c_acctbal >= 0)"
 
 
 def current(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +67,7 @@ CURRENT = "current_ids AS (SELECT 'P' || c_custkey::VARCHAR AS secondary, 'P' ||
 def orbit_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """part as orbits; some objects have none."""
     p = F.col("p_partkey")
-    return table(spark, sf_dir, "part").where(p % 11 != 0).select(
+    return table(spark, sf_dir, "part").where("p_size <> 11").select(
         p.alias("object_id"),
         (F.lit(0.3) + F.col("p_size") / F.lit(40.0)).alias("q"),
         ((p % 80) / F.lit(100.0)).alias("e"),
@@ -78,7 +78,7 @@ def orbit_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORBITS = """orbits AS (SELECT p_partkey AS object_id, 0.3::DOUBLE + p_size / 40::DOUBLE AS q, (p_partkey % 80) / 100::DOUBLE AS e, (p_partkey * 7 % 40)::DOUBLE AS i,
-  (p_partkey * 37 % 360)::DOUBLE AS node, (p_partkey * 53 % 360)::DOUBLE AS argperi FROM part WHERE p_partkey % 11 <> 0)"""
+  (p_partkey * 37 % 360)::DOUBLE AS node, (p_partkey * 53 % 360)::DOUBLE AS argperi FROM part WHERE p_size <> 11)"""
 
 
 def sky_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
