@@ -34,8 +34,7 @@ def _only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: null texts and texts without a letter."""
-    told = langid.train_and_predict(docs)
-    return _only(docs, told.where(F.col("lang_pred") != langid.UNDETERMINED))
+    return langid.recognised(docs.select(*COLUMNS), langid.fit(langid.training_rows(docs), langid.default_vocabulary()))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

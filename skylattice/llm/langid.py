@@ -180,25 +180,39 @@ class _Forward:
         return self.known[list(map(self.memo.__getitem__, words))]
 
 
+def _labels(model: Model, rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row: whether its language is told, the language's number, and the score."""
+    if _cache.get("model") != model.key:
+        _cache.update(model=model.key, forward=_Forward(model))
+    forward, n_lang, n = _cache["forward"], len(model.languages), rows.num_rows
+    doc, number, words = _unique_words(rows)
+    known, score, best = np.zeros(n, bool), np.zeros(n), np.zeros(n, np.int64)
+    if words and n_lang:
+        each = forward.scores(words)
+        total = np.stack([np.bincount(doc, weights=each[number, k], minlength=n) for k in range(n_lang)], 1) + model.prior
+        known = np.bincount(doc, weights=each[number, -1], minlength=n) > 0
+        best = total.argmax(1)
+        score = np.where(known, 1 / np.exp(total - total.max(1, keepdims=True)).sum(1), 0.0)
+    return known, best, score
+
+
 def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        if _cache.get("model") != model.key:
-            _cache.update(model=model.key, forward=_Forward(model))
-        forward, n_lang = _cache["forward"], len(model.languages)
         for batch in batches:
             for rows in _text.slices(batch):
-                n = rows.num_rows
-                doc, number, words = _unique_words(rows)
-                known, score, best = np.zeros(n, bool), np.zeros(n), np.zeros(n, np.int64)
-                if words and n_lang:
-                    each = forward.scores(words)
-                    total = np.stack([np.bincount(doc, weights=each[number, k], minlength=n) for k in range(n_lang)], 1) + model.prior
-                    known = np.bincount(doc, weights=each[number, -1], minlength=n) > 0
-                    best = total.argmax(1)
-                    score = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
+                known, best, score = _labels(model, rows)
                 names = [model.languages[k] if ok else UNDETERMINED for k, ok in zip(best.tolist(), known.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["held_out"], pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0))], ["doc_id", "held_out", "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["held_out"], pa.array(names, pa.string()), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
+
+    return run
+
+
+def _keep(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in _text.slices(batch):
+                yield rows.filter(pa.array(_labels(shared.value, rows)[0]))
 
     return run
 
@@ -213,13 +227,21 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model)), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def recognised(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of `docs`, which has the column text, whose language is told; the texts stay where they are."""
+    return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(model)), docs.schema)
+
+
+def training_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    return docs.where(~held_out(F.col(id_col), 5, 0))
+
+
 def default_vocabulary() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
 def train_and_predict(docs: DataFrame) -> DataFrame:
-    training = docs.where(~held_out(F.col("doc_id"), 5, 0))
-    return predict(docs, fit(training, default_vocabulary()))
+    return predict(docs, fit(training_rows(docs), default_vocabulary()))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
