@@ -7,12 +7,14 @@ COORDINATES - MATCHES + 1 rarest of each, so only those are posted, and pairs th
 That leaves the frequent pairs, which widely shared passages bring, out of the lists.
 
 Lists are merged block by block with signatures beside the ids, so collisions are counted in place and no list is
-expanded into pairs: in each round a class names its best partner of another component and the list's most central
-member. Named pairs are confirmed on the texts' words, confirmed links join components, and the next round looks
-only at lists that still hold several components, naming four times as many partners. Rounds end when no list withheld
+expanded into pairs: a pair is looked at in the list of the rarest value it shares, must agree in SKETCH_MATCHES of the
+SKETCH bytes of a longer sketch as well, and in each round a class names its best partners of other components and the
+list's most central member. Named pairs are confirmed on the texts' words, confirmed links join components, and the next round looks
+only at lists that still hold several components: in the same way while most named pairs are links, then naming all that is left. Rounds end when no list withheld
 a partner, so every candidate pair lies within one component or was confirmed or refused on the full sets.
 
-A pair at the similarity 0.75 agrees in 36 of 48 coordinates on average and misses 24 with a probability below 0.0002.
+A pair at the similarity 0.75 agrees in 36 of 48 coordinates on average and misses 24 with a probability below 0.0002; it
+agrees in 384 of 512 bytes and misses 346 with a probability below 0.0001.
 
 Defined results: a text without words, or null, has an empty set and is linked with nothing; fewer words than five
 are one shingle; rows that share a doc_id count as one document; a row with a null doc_id is linked with nothing, its
@@ -34,13 +36,18 @@ from skylattice.llm._shared import cut, documents
 WORDS = 5
 COORDINATES = 48
 MATCHES = 24
+#: Bytes of a longer sketch, one per hash function, and how many must agree: a check of candidates before they are named.
+SKETCH = 512
+SKETCH_MATCHES = 346
 BLOCK = 1024
+#: Partners that a class names in a list while rounds mostly find links.
+PARTNERS = 2
 #: A link needs 100 * intersection >= PERCENT * union.
 PERCENT = 75
 
 _rng = np.random.default_rng(48)
-_FACTORS = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64)
+_FACTORS = _rng.integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _rng.integers(1, 2**63, SKETCH, dtype=np.uint64)
 
 
 def _chain(parts: list[np.ndarray]) -> np.ndarray:
@@ -79,18 +86,29 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             has = np.flatnonzero(n)
             starts = (np.cumsum(n) - n)[has]
             signature, marks = np.zeros((rows.num_rows, COORDINATES), np.int32), np.zeros((rows.num_rows, 2), np.uint64)
+            sketch = np.zeros((rows.num_rows, SKETCH), np.uint8)
             if len(has):
-                for k in range(COORDINATES):
-                    signature[has, k] = (np.minimum.reduceat(h * _FACTORS[k] + _SHIFTS[k], starts) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                hashed = np.empty_like(h)
+                for k in range(SKETCH):
+                    np.multiply(h, _FACTORS[k], out=hashed)
+                    np.add(hashed, _SHIFTS[k], out=hashed)
+                    least = np.minimum.reduceat(hashed, starts)
+                    sketch[has, k] = (least & np.uint64(255)).astype(np.uint8)
+                    if k < COORDINATES:
+                        signature[has, k] = (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 for k, salt in enumerate((0x1234567, 0x7654321)):
                     marks[has, k] = np.add.reduceat(_text.mix(h ^ np.uint64(salt)), starts)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(rows.num_rows + 1, dtype=np.int32) * COORDINATES), pa.array(signature.ravel()))
-            yield pa.RecordBatch.from_arrays([rows["doc_id"], pa.array(n), pa.array(marks[:, 0].view(np.int64)), pa.array(marks[:, 1].view(np.int64)), flat], ["doc_id", "n_shingles", "mark", "mark2", "signature"])
+            bytes_ = pa.FixedSizeBinaryArray.from_buffers(pa.binary(SKETCH), rows.num_rows, [None, pa.py_buffer(sketch.tobytes())]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [rows["doc_id"], pa.array(n), pa.array(np.ascontiguousarray(marks[:, 0]).view(np.int64)), pa.array(np.ascontiguousarray(marks[:, 1]).view(np.int64)), flat, bytes_],
+                ["doc_id", "n_shingles", "mark", "mark2", "signature", "sketch"],
+            )
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit mark of the set, and the signature."""
-    return docs.mapInArrow(_sign, "doc_id long, n_shingles long, mark long, mark2 long, signature array<int>")
+    """doc_id, n_shingles, a 128-bit mark of the set, the signature and the longer sketch."""
+    return docs.mapInArrow(_sign, "doc_id long, n_shingles long, mark long, mark2 long, signature array<int>, sketch binary")
 
 
 def postings(classes: DataFrame) -> DataFrame:
@@ -102,7 +120,7 @@ def postings(classes: DataFrame) -> DataFrame:
     # the pairs that no other class has come first in the order; they fill that many places of the prefix
     prefix = F.slice("shared", F.lit(1), F.size("shared") - (MATCHES - 1))
     posted = shared.where(F.size("shared") >= MATCHES).select("rep", F.transform(prefix, lambda s: s["token"]).alias("tokens"))
-    return posted.join(classes.select("rep", "signature"), "rep")
+    return posted.join(classes.select("rep", "signature", "sketch"), "rep")
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -127,8 +145,11 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _name_pairs(partners: int):
-    def pairs_of(number, side, rep, comp, signature):
-        """Candidate pairs (i, j, agreeing coordinates) of one or more whole lists; rows of a list follow each other."""
+    def pairs_of(number, side, comp, at, signature, rank, sketch):
+        """Candidate pairs (i, j, agreeing bytes of the sketch) of whole lists; rows of a list follow each other.
+
+        A pair is looked at in one list alone, that of the rarest coordinate value both have.
+        """
         size = np.bincount(np.cumsum(np.concatenate([[0], number[1:] != number[:-1]])))
         left = np.repeat(np.cumsum(size), size) - np.arange(len(number)) - 1
         out = []
@@ -137,15 +158,18 @@ def _name_pairs(partners: int):
             j = i + d
             ok = (comp[i] != comp[j]) & ((side[i] != side[j]) | (side[i] == 0))
             i, j = i[ok], j[ok]
-            for a in range(0, len(i), 200_000):
-                x, y = i[a : a + 200_000], j[a : a + 200_000]
-                n = (signature[x] == signature[y]).sum(1)
-                keep = n >= MATCHES
+            for a in range(0, len(i), 100_000):
+                x, y = i[a : a + 100_000], j[a : a + 100_000]
+                same = signature[x] == signature[y]
+                keep = (same.sum(1) >= MATCHES) & (np.where(same, rank[x], 255).argmin(1) == at[x])
+                x, y = x[keep], y[keep]
+                n = (sketch[x] == sketch[y]).sum(1)
+                keep = n >= SKETCH_MATCHES
                 out.append((x[keep], y[keep], n[keep]))
         return (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
 
-    def named(number, side, rep, comp, signature):
-        i, j, n = pairs_of(number, side, rep, comp, signature)
+    def named(rep, *columns):
+        i, j, n = pairs_of(*columns)
         if not len(i):
             return np.zeros((0, 2), np.int64), False
         a, b, n = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([n, n])
@@ -154,26 +178,32 @@ def _name_pairs(partners: int):
         a, b = a[order], b[order]
         first = np.flatnonzero(np.diff(a, prepend=-1))
         count = np.diff([*first, len(a)])
-        rank = np.arange(len(a)) - np.repeat(first, count)
+        place = np.arange(len(a)) - np.repeat(first, count)
         order = np.lexsort((rep[b], -central[b], a))
         hub = np.zeros(len(a), bool)
         hub[order[first]] = True  # the most central partner of each
-        take = (rank < partners) | hub
+        take = (place < partners) | hub
         x, y = rep[a[take]], rep[b[take]]
         return np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0), bool((~take).any())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _lists(batches):
-            columns = [table[c].to_numpy() for c in ("list", "side", "rep", "comp")]
+            number, rep, *columns = [table[c].to_numpy() for c in ("list", "rep", "side", "comp", "at")]
             signature = table["signature"].combine_chunks().flatten().to_numpy().reshape(len(table), COORDINATES)
-            edge = np.flatnonzero(np.diff(columns[0], prepend=columns[0][0] - 1))
+            sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(table), SKETCH)
+            order = table["coordinates"].combine_chunks()
+            sizes = np.diff(order.offsets.to_numpy())
+            rank = np.full((len(table), COORDINATES), 255, np.uint8)
+            rows = np.repeat(np.arange(len(table)), sizes)
+            rank[rows, order.flatten().to_numpy()] = _text.ragged(np.zeros(len(table), np.int64), sizes)
+            edge = np.flatnonzero(np.diff(number, prepend=number[0] - 1))
             ends = np.append(edge[1:], len(table))
             at = 0
             while at < len(edge):  # lists of about a million pairs at a time
                 pairs = np.cumsum((ends[at : at + 4096] - edge[at : at + 4096]) ** 2 // 2)
                 to = at + max(1, int(np.searchsorted(pairs, 1_000_000, "right")))
-                rows = slice(int(edge[at]), int(ends[to - 1]))
-                found, more = named(*[c[rows] for c in columns], signature[rows])
+                part = slice(int(edge[at]), int(ends[to - 1]))
+                found, more = named(rep[part], number[part], *[c[part] for c in columns], signature[part], rank[part], sketch[part])
                 if len(found):
                     yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(np.full(len(found), more))], ["u", "v", "more"])
                 at = to
@@ -189,13 +219,15 @@ def candidates(posted: DataFrame, stars: DataFrame | None, partners: int) -> Dat
         labelled = posted.join(stars.select(F.col("u").alias("rep"), F.col("v").alias("comp")), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     rows = labelled.select("rep", "comp", F.explode("tokens").alias("token"))
     open_lists = rows.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = labelled.select("rep", "comp", "signature", F.explode("tokens").alias("token")).join(open_lists, "token")
+    coordinates = F.transform("tokens", lambda t: F.shiftright(t, 32).cast("int")).alias("coordinates")
+    rows = labelled.select("rep", "comp", "signature", "sketch", coordinates, F.explode("tokens").alias("token")).join(open_lists, "token")
     # a list of several blocks becomes a list for each pair of blocks; side says which of the two a row is of, 0: both are one
     rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     key = F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other")).alias("list")
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side")
-    rows = rows.select(key, side, "rep", "comp", "signature").repartition("list").sortWithinPartitions("list", "rep")
+    at = F.shiftright("token", 32).cast("int").alias("at")
+    rows = rows.select(key, side, at, "rep", "comp", "coordinates", "signature", "sketch").repartition("list").sortWithinPartitions("list", "rep")
     return rows.mapInArrow(_name_pairs(partners), "u long, v long, more boolean").groupBy("u", "v").agg(F.max("more").alias("more"))
 
 
@@ -232,11 +264,11 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = cut(signatures(rows))
     sets = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = sets.groupBy("mark", "mark2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))
-    posted = cut(postings(classes.select("rep", "signature")))
+    classes = sets.groupBy("mark", "mark2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"))
+    posted = cut(postings(classes.select("rep", "signature", "sketch")))
     texts = rows.withColumnRenamed("doc_id", "rep").join(posted.select("rep").distinct(), "rep", "left_semi")
     texts = cut(texts.groupBy("rep").agg(F.min("text").alias("text")))
-    stars, tested, partners = None, None, 1
+    stars, tested, partners = None, None, PARTNERS
     while True:
         found = cut(candidates(posted, stars, partners))
         more = found.where("more").limit(1).count() > 0
@@ -244,11 +276,13 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         decided = cut(confirmed(new, texts))
         tested = decided.select("u", "v") if tested is None else tested.unionByName(decided.select("u", "v"))
         links = decided.where("linked").select("u", "v")
-        if stars is None or not links.isEmpty():
+        n_links, n_decided = decided.agg(F.count_if("linked"), F.count(F.lit(1))).first()
+        if stars is None or n_links:
             stars = _graph.components(links if stars is None else links.unionByName(stars))
         if not more:
             break
-        partners *= 4
+        # while most pairs are links, components grow and a few partners do; otherwise the rest is named at once
+        partners = PARTNERS if 3 * n_links > 2 * n_decided else 1 << 40
     known = classes.select("mark", "mark2", F.col("n_shingles").alias("n"), "rep").join(stars.select(F.col("u").alias("rep"), F.col("v").alias("root")), "rep", "left")
     same = (F.col("s.mark") == F.col("k.mark")) & (F.col("s.mark2") == F.col("k.mark2")) & (F.col("s.n_shingles") == F.col("k.n")) & F.col("s.doc_id").isNotNull()
     joined = signed.alias("s").join(known.alias("k"), same, "left")
