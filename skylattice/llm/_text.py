@@ -202,7 +202,7 @@ class Memo:
     def many(self, keys: list) -> list:
         """The values of all keys, None for those that are not there."""
         values = list(map(self.new.get, keys))
-        if None in values and self.old:
+        if self.old:
             for k in [k for k, v in enumerate(values) if v is None]:
                 if (value := self.old.get(keys[k])) is not None:
                     values[k] = value

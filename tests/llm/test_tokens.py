@@ -13,7 +13,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from skylattice.llm import bpe, packing, token_store
+from skylattice.llm import _text, bpe, packing, token_store
 from tests_llm_data import SF
 
 
@@ -151,3 +151,16 @@ def test_bpe_classes_equal_library_on_every_code_point():
         if own.encode(text) != theirs.encode_ordinary(text):
             odd.append(hex(c))
     assert not odd
+
+
+def test_memo_keeps_what_is_used_and_stays_bounded():
+    memo = _text.Memo(3)
+    for k in range(5):
+        memo.put(k, np.array([k, k]))
+    found = memo.many([0, 1, 2, 3, 4, 9])
+    assert all(v is None or int(v[0]) == k for k, v in zip([0, 1, 2, 3, 4, 9], found, strict=True))  # an entry may be gone, never wrong
+    assert found[3] is not None and found[4] is not None and found[5] is None
+    assert len(memo.new) <= 3 and len(memo.old) <= 3
+    for k in range(10, 20):
+        memo.put(k, k)
+        assert memo.get(10) == 10  # what is used stays
