@@ -219,15 +219,16 @@ def candidates(posted: DataFrame, stars: DataFrame | None, partners: int) -> Dat
         labelled = posted.join(stars.select(F.col("u").alias("rep"), F.col("v").alias("comp")), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     rows = labelled.select("rep", "comp", F.explode("tokens").alias("token"))
     open_lists = rows.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    coordinates = F.transform("tokens", lambda t: F.shiftright(t, 32).cast("int")).alias("coordinates")
-    rows = labelled.select("rep", "comp", "signature", "sketch", coordinates, F.explode("tokens").alias("token")).join(open_lists, "token")
     # a list of several blocks becomes a list for each pair of blocks; side says which of the two a row is of, 0: both are one
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = rows.drop("comp").join(open_lists, "token").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     key = F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other")).alias("list")
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side")
-    at = F.shiftright("token", 32).cast("int").alias("at")
-    rows = rows.select(key, side, at, "rep", "comp", "coordinates", "signature", "sketch").repartition("list").sortWithinPartitions("list", "rep")
+    rows = rows.select("rep", key, side, F.shiftright("token", 32).cast("int").alias("at"))
+    # signatures join last, so that they travel once, to their lists
+    coordinates = F.transform("tokens", lambda t: F.shiftright(t, 32).cast("int")).alias("coordinates")
+    rows = rows.join(labelled.select("rep", "comp", coordinates, "signature", "sketch"), "rep")
+    rows = rows.select("list", "side", "at", "rep", "comp", "coordinates", "signature", "sketch").repartition("list").sortWithinPartitions("list", "rep")
     return rows.mapInArrow(_name_pairs(partners), "u long, v long, more boolean").groupBy("u", "v").agg(F.max("more").alias("more"))
 
 
