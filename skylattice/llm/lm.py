@@ -1,14 +1,16 @@
 """Language-model scores by a weighted backoff automaton over the corpus's own n-grams.
 
-States are the HISTORIES most frequent tokens and a root. A state's arcs are its bigrams, absolutely discounted; its
+States are all tokens and a root. A state's arcs are all its bigrams, absolutely discounted; its
 failure arc leads to the root with the weight that makes the state's probabilities add up to one; the root's arcs are
 all tokens of the training rows, add-one smoothed. A text is read from left to right once: the state takes the arc
 of the next token, or fails to the root and takes the token's arc there, and the logarithms add up.
 
-All counts are taken over all training rows. What is broadcast is bounded by parameters: the HEAD most frequent tokens with
-their counts and ARCS bigrams, cut at a count (ties at the cut are left out together). Every other token's arc, however
-many there are, stays in the distributed table of counts and reaches the texts that need it by a join.
-Tokens are compared by 64-bit hashes.
+All counts are taken over all training rows, and no size decides what the model has. What is broadcast is bounded: the HEAD
+most frequent tokens with their counts and failure weights, and the ARCS most frequent bigrams. Every other token's arc and
+every other bigram, however many there are, stays in distributed tables and reaches the texts that need it by a join.
+Tokens are compared by 64-bit hashes, bigrams with a token outside the head by 63-bit ones of both.
+
+`fit` and `score`, with sizes, are the automaton cut to HISTORIES states and ARCS bigrams seen twice or more; the query does not use them.
 
 Defined results: a null or empty text is the end token alone; a null doc_id counts as held out; rows are scored each on
 its own, repeated rows repeat their results; without training rows every token has the probability 1 / (0 + 1);
@@ -27,10 +29,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylattice.llm import _text
-from skylattice.llm._shared import cut, documents
+from skylattice.llm._shared import cut, documents, new_folder
 from skylattice.llm.langid import held_out
 
-#: Tokens whose counts are broadcast, tokens that are states, and bigrams that are arcs, at most.
+#: Tokens and bigrams that are broadcast, at most; in the cut automaton, those that it has, and its states.
 HEAD = 400_000
 HISTORIES = 1 << 16
 ARCS = 500_000
@@ -245,8 +247,274 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
     )
 
 
+def _shown(doc: np.ndarray, h: np.ndarray, rank: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each token its history's hash and rank, and the number of the pair.
+
+    A pair of two tokens of the head is their ranks, history << 32 | token; any other is a hash with the highest bit set.
+    """
+    first = np.flatnonzero(np.diff(doc, prepend=-1))
+    before, history = np.concatenate([[END], h[:-1]]), np.concatenate([[end], rank[:-1]])
+    before[first], history[first] = END, end
+    hashed = (_text.mix(_text.mix(before) + h) | np.uint64(1 << 63)).view(np.int64)
+    return before, history, np.where((history >= 0) & (rank >= 0), (history << 32) | rank, hashed)
+
+
+def _count_pairs(shared):
+    """Pairs of tokens with their counts; those that are not two tokens of the head with both tokens' hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = shared.value
+        end = model.rank(np.array([END]))[0]
+        counter = _Counter()
+        for batch in batches:
+            for rows in _text.slices(batch):
+                doc, h = _tokens(rows)
+                before, _, key = _shown(doc, h, model.rank(h), end)
+                if (key >= 0).any():
+                    counter.add(key[key >= 0])
+                for part in counter.batches(False):
+                    yield _with_hashes(part["token"], part["n"])
+                tail = np.flatnonzero(key < 0)
+                if len(tail):
+                    keys, first, n = np.unique(key[tail], return_index=True, return_counts=True)
+                    yield _with_hashes(pa.array(keys), pa.array(n.astype(np.int64)), before[tail][first], h[tail][first])
+        for part in counter.batches(True):
+            yield _with_hashes(part["token"], part["n"])
+
+    return run
+
+
+def _with_hashes(keys: pa.Array, n: pa.Array, history: np.ndarray | None = None, token: np.ndarray | None = None) -> pa.RecordBatch:
+    both = [pa.nulls(len(keys), pa.int64()) if x is None else pa.array(x.view(np.int64)) for x in (history, token)]
+    return pa.RecordBatch.from_arrays([keys, n, *both], ["pair", "n", "history", "token"])
+
+
+def _column(rows: pa.RecordBatch, name: str) -> np.ndarray:
+    return rows[name].to_numpy(zero_copy_only=False)
+
+
+def _successors(shared):
+    """By history: its different successors, their occurrences, and the sum of count + 1 over those of the head."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = shared.value
+        hashes = np.zeros(len(model.hashes), np.uint64)
+        hashes[model.ranks] = model.hashes
+        sums = np.zeros((3, len(hashes)), np.int64)
+        names = ["token", "kinds", "times", "mass"]
+        for rows in batches:
+            pair, n = _column(rows, "pair"), _column(rows, "n")
+            head = pair >= 0
+            if head.any():
+                history = pair[head] >> 32
+                for k, x in enumerate((1, n[head], model.counts[pair[head] & 0xFFFFFFFF] + 1)):
+                    np.add.at(sums[k], history, x)
+            if not head.all():
+                rest = rows.filter(pa.array(~head))
+                rank = model.rank(_column(rest, "token").view(np.uint64))
+                mass = np.where(rank >= 0, np.append(model.counts, 0)[rank] + 1, 0)
+                yield pa.RecordBatch.from_arrays([rest["history"], pa.array(np.ones(len(rank), np.int64)), rest["n"], pa.array(mass)], names)
+        at = np.flatnonzero(sums[0])
+        for a in range(0, len(at), 100_000):
+            part = at[a : a + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[part].view(np.int64)), *(pa.array(x[part]) for x in sums)], names)
+
+    return run
+
+
+def _outside(shared):
+    """Of pairs with hashes, the tokens outside the head: one row for the history and one for the token."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = shared.value
+        for rows in batches:
+            for name, is_history in (("history", True), ("token", False)):
+                part = rows.filter(pa.array(model.rank(_column(rows, name).view(np.uint64)) < 0))
+                yield pa.RecordBatch.from_arrays([part["pair"], part["history"], part[name], pa.array([is_history] * part.num_rows, pa.bool_())], ["pair", "history", "token", "is_history"])
+
+    return run
+
+
+def _inside(shared):
+    """What an arc with hashes adds to its fallback, as far as the head tells."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = shared.value
+        from_history, from_token = _gains(model)
+        for rows in batches:
+            history, token = (model.rank(_column(rows, x).view(np.uint64)) for x in ("history", "token"))
+            a = np.log10(_column(rows, "n") - DISCOUNT) + from_history[history] + from_token[token]
+            yield pa.RecordBatch.from_arrays([rows["pair"], pa.array(a)], ["key", "a"])
+
+    return run
+
+
+def _gains(model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """By rank, what history and token add to log10(n - DISCOUNT) in an arc's weight less its fallback's; 0 outside the head."""
+    return np.append(-np.log10(model.counts) - model.failure, 0.0), np.append(-model.root(model.counts), 0.0)
+
+
+@dataclass
+class Whole:
+    """The automaton of all bigrams: the model holds the head, the arcs most often taken and the head's failure weights."""
+
+    model: Model
+    #: pair, n, history, token of every bigram
+    pairs: DataFrame
+    #: token, n, failure of every token outside the head
+    tail: DataFrame
+
+
+def fit_whole(docs: DataFrame, head: int = HEAD, arcs: int = ARCS, text_col: str = "text") -> Whole:
+    """The automaton of all bigrams of all rows of `docs`; `head` and `arcs` bound what is broadcast, and change no result."""
+    spark = docs.sparkSession
+    rows = docs.select(F.col(text_col).alias("text"))
+    counts = cut(rows.mapInArrow(_count(lambda part: _tokens(part)[1]), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    keys, n = _most_frequent(counts, head, 1)
+    least = int(n[-1]) if len(n) else None
+    order = np.argsort(keys.view(np.uint64))
+    none = np.zeros(0)
+    model = Model(uuid.uuid4().hex, total.n, total.v, keys.view(np.uint64)[order], order, n, none, none, none)
+    shared = spark.sparkContext.broadcast(model)
+    found = rows.mapInArrow(_count_pairs(shared), "pair long, n long, history long, token long")
+    folder = new_folder(spark, "bigrams")
+    found.groupBy("pair").agg(F.sum("n").alias("n"), F.max("history").alias("history"), F.max("token").alias("token")).write.option("compression", "zstd").parquet(folder)
+    pairs = spark.read.schema("pair long, n long, history long, token long").parquet(folder)
+    rare = counts.where(F.lit(True) if least is None else F.col("n") < least)
+    outside = pairs.where("pair < 0").mapInArrow(_outside(shared), "pair long, history long, token long, is_history boolean")
+    more = outside.where("NOT is_history").join(rare, "token").select(F.col("history").alias("token"), F.lit(0).alias("kinds"), F.lit(0).alias("times"), (F.col("n") + 1).alias("mass"))
+    sums = pairs.mapInArrow(_successors(shared), "token long, kinds long, times long, mass long").unionByName(more).groupBy("token").agg(*(F.sum(x).alias(x) for x in ("kinds", "times", "mass")))
+    whole = float(total.n + total.v + 1)
+    left = (F.col("n") - F.col("times") + DISCOUNT * F.col("kinds")) / F.col("n")
+    failure = F.coalesce(F.log10(left / ((whole - F.col("mass")) / whole)), F.lit(0.0))
+    states = cut(counts.join(sums, "token", "left").select("token", "n", failure.alias("failure")))
+    model.failure = np.zeros(len(keys))
+    if least is not None:
+        known = states.where(F.col("n") >= least).select("token", "failure").toArrow()
+        model.failure[model.rank(known["token"].to_numpy().view(np.uint64))] = known["failure"].to_numpy()
+    often, times = _most_frequent(pairs.where("pair >= 0").select(F.col("pair").alias("token"), "n"), arcs, 2)
+    order = np.argsort(often)
+    model.arcs, times = often[order], times[order]
+    model.weights = np.log10((times - DISCOUNT) / n[model.arcs >> 32]) if len(often) else none
+    model.key = uuid.uuid4().hex
+    return Whole(model, pairs, states.where(F.lit(True) if least is None else F.col("n") < least))
+
+
+#: What a row asks, or says of itself: arcs of the head, other arcs, tokens outside the head; its results so far.
+_HEAD_ARC, _OTHER_ARC, _TOKEN, _HELD_OUT, _LEARNT, _KNOWN = range(6)
+
+
+def _ask(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = shared.value
+        end = model.rank(np.array([END]))[0]
+        root, failure = np.append(model.root(model.counts), 0.0), np.append(model.failure, 0.0)  # the last is added by the join
+        for batch in batches:
+            for rows in _text.slices(batch):
+                n = rows.num_rows
+                row, out = _column(rows, "row"), _column(rows, "held_out").astype(bool)
+                doc, h = _tokens(rows)
+                rank = model.rank(h)
+                _, history, key = _shown(doc, h, rank, end)
+                base = root[rank]
+                step = failure[history] + base
+                ask = np.ones(len(h), bool)
+                if len(model.arcs):
+                    at = np.minimum(np.searchsorted(model.arcs, key), len(model.arcs) - 1)
+                    ask = model.arcs[at] != key
+                    step = np.where(ask, step, model.weights[at])
+                rare = rank < 0
+                d = np.concatenate([doc[ask], doc[rare]])
+                keys = np.concatenate([key[ask], h[rare].view(np.int64)])
+                kind = np.concatenate([np.where(key[ask] >= 0, _HEAD_ARC, _OTHER_ARC), np.full(int(rare.sum()), _TOKEN)])
+                order = np.lexsort((kind, keys, d))
+                d, keys, kind = d[order], keys[order], kind[order]
+                first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (keys[1:] != keys[:-1]) | (kind[1:] != kind[:-1])])) if len(d) else np.zeros(0, np.int64)
+                times = np.diff(np.append(first, len(d)))
+                d, keys, kind = d[first], keys[first], kind[first]
+                for a in range(0, len(d), 200_000):
+                    b = min(a + 200_000, len(d))
+                    yield _asked(row[d[a:b]], kind[a:b], keys[a:b], times[a:b])
+                known = np.bincount(doc, weights=rank >= 0, minlength=n)
+                yield _asked(row, np.full(n, _KNOWN), row, known)
+                yield _asked(row, np.where(out, _HELD_OUT, _LEARNT), row, np.bincount(doc, minlength=n), rows["doc_id"], np.bincount(doc, weights=base, minlength=n), np.bincount(doc, weights=step, minlength=n))
+
+    return run
+
+
+def _asked(row, kind, key, k, doc_id=None, base=None, score=None) -> pa.RecordBatch:
+    sums = [pa.nulls(len(row), pa.float64()) if x is None else pa.array(x) for x in (base, score)]
+    ids = pa.nulls(len(row), pa.int64()) if doc_id is None else doc_id
+    return pa.RecordBatch.from_arrays([pa.array(row), pa.array(kind.astype(np.int8)), pa.array(key), pa.array(k.astype(np.int64)), ids, *sums], ["row", "kind", "key", "k", "doc_id", "base", "score"])
+
+
+def _answer(shared):
+    """Arcs of the head that were found: what each adds to its row's score."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from_history, from_token = _gains(shared.value)
+        for rows in batches:
+            key, kind, a = (_column(rows, x) for x in ("key", "kind", "a"))
+            arc = kind == _HEAD_ARC
+            key = np.where(arc, key, 0)
+            a = a.copy()
+            a[arc] = np.log10(a[arc] - DISCOUNT) + from_history[key[arc] >> 32] + from_token[key[arc] & 0xFFFFFFFF]
+            yield rows.set_column(rows.schema.get_field_index("a"), "a", pa.array(a, from_pandas=True))
+
+    return run
+
+
+def score_whole(docs: DataFrame, whole: Whole, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As score(), by all bigrams: arcs and tokens that were not broadcast are found by one join."""
+    spark, model = docs.sparkSession, whole.model
+    shared = spark.sparkContext.broadcast(model)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col), 7, 2).alias("held_out"), F.col(text_col).alias("text"))
+    schema = "row long, kind byte, key long, k long, doc_id long, base double, score double"
+    asked = rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_ask(shared), schema)
+
+    def told(df: DataFrame, kind: int, key: str, a, b=None) -> DataFrame:
+        return df.select(F.lit(kind).cast("byte").alias("kind"), F.col(key).alias("key"), a.cast("double").alias("a"), (F.lit(None) if b is None else b).cast("double").alias("b"))
+
+    total = float(model.train_tokens + model.vocabulary + 1)
+    root = F.log10((F.col("n") + 1) / F.lit(total))
+    others = whole.pairs.where("pair < 0")
+    outside = others.mapInArrow(_outside(shared), "pair long, history long, token long, is_history boolean").join(whole.tail, "token")
+    # an arc with a token outside the head has up to three rows, whose sum is what it adds
+    table = (
+        told(whole.pairs.where("pair >= 0"), _HEAD_ARC, "pair", F.col("n"))
+        .unionByName(told(others.mapInArrow(_inside(shared), "key long, a double"), _OTHER_ARC, "key", F.col("a")))
+        .unionByName(told(outside, _OTHER_ARC, "pair", F.when(F.col("is_history"), -F.log10("n") - F.col("failure")).otherwise(-root)))
+        .unionByName(told(whole.tail, _TOKEN, "token", root, F.col("failure")))
+    )
+    kind, k = F.col("kind"), F.col("k")
+    found = asked.join(table, ["kind", "key"], "left").where((kind >= _TOKEN) | F.col("a").isNotNull())
+    found = found.select("row", "kind", "key", "k", "doc_id", "base", "score", "a", "b").mapInArrow(_answer(shared), schema + ", a double, b double")
+    unseen = F.lit(float(np.log10(1 / total)))
+    base = F.when(kind == _TOKEN, k * F.coalesce("a", unseen)).when(kind.isin(_HELD_OUT, _LEARNT), F.col("base")).otherwise(0.0)
+    more = F.when(kind == _TOKEN, k * (F.coalesce("a", unseen) + F.coalesce("b", F.lit(0.0)))).when(kind < _TOKEN, k * F.col("a")).when(kind.isin(_HELD_OUT, _LEARNT), F.col("score")).otherwise(0.0)
+    known = F.when((kind == _KNOWN) | ((kind == _TOKEN) & F.col("a").isNotNull()), k).otherwise(0)
+    return (
+        found.groupBy("row")
+        .agg(
+            F.max("doc_id").alias("doc_id"),
+            F.max(kind == _HELD_OUT).alias("held_out"),
+            F.sum(F.when(kind.isin(_HELD_OUT, _LEARNT), k).otherwise(0)).alias("n_tokens"),
+            F.sum(known).alias("n_known"),
+            F.lit(model.train_tokens).cast("long").alias("train_tokens"),
+            F.sum(base).alias("base_score"),
+            F.sum(more).alias("score"),
+        )
+        .drop("row")
+    )
+
+
 def train_and_score(docs: DataFrame, **sizes: int) -> DataFrame:
-    model, counts = fit(docs.where(~held_out(F.col("doc_id"), 7, 2)), **sizes)
+    """By all bigrams; a caller that gives sizes gets the automaton bounded by them."""
+    learn = docs.where(~held_out(F.col("doc_id"), 7, 2))
+    if not sizes:
+        return score_whole(docs, fit_whole(learn))
+    model, counts = fit(learn, **sizes)
     return score(docs, model, counts)
 
 

@@ -154,3 +154,49 @@ def test_states_probabilities_add_up_and_help(spark, table, empty):
     assert lm.train_and_score(empty).count() == 0
     rows = spark.createDataFrame([(None, "a b"), (None, None)], "doc_id long, text string")
     assert {(r.held_out, r.base_score) for r in lm.train_and_score(rows).collect()} == {(True, 0.0)}
+
+
+def plain_whole(rows):
+    """All bigrams, without a cut, with dictionaries and one step per token."""
+    from collections import Counter, defaultdict
+
+    def tokens(text):
+        return ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w) for w in _split(text)] + [None]
+
+    def out(doc_id):
+        return doc_id is None or zlib.crc32(str(doc_id).encode()) % 7 == 2
+
+    c, pairs, after = Counter(), Counter(), defaultdict(set)
+    for ts in (tokens(t) for d, t in rows if not out(d)):
+        c.update(ts)
+        pairs.update(zip([None, *ts], ts))
+    for h, w in pairs:
+        after[h].add(w)
+    total = sum(c.values()) + len(c) + 1
+    failure = {h: (0.75 * len(ws) / c[h]) / ((total - sum(c[w] + 1 for w in ws)) / total) for h, ws in after.items()}
+    got = {}
+    for d, t in rows:
+        ts = tokens(t)
+        base = sum(math.log10((c[w] + 1) / total) for w in ts)
+        score = sum(math.log10((pairs[h, w] - 0.75) / c[h] if (h, w) in pairs else failure.get(h, 1.0) * (c[w] + 1) / total) for h, w in zip([None, *ts], ts))
+        got.setdefault(d, []).append((out(d), len(ts), sum(w in c for w in ts), sum(c.values()), base, score))
+    return got
+
+
+@pytest.mark.parametrize("sizes", [None, (300, 200), (40, 10), (0, 0)])
+def test_scores_by_all_bigrams_whatever_is_broadcast(spark, odd, sizes):
+    from pyspark.sql import functions as F
+
+    from skylattice.llm import lm
+
+    for docs in (odd, spark.read.parquet(f"{SF}/documents.parquet")):
+        rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+        want = plain_whole(rows)
+        if sizes is None:
+            scored = lm.train_and_score(docs)
+        else:
+            scored = lm.score_whole(docs, lm.fit_whole(docs.where(~langid.held_out(F.col("doc_id"), 7, 2)), *sizes))
+        got = scored.collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert any(tuple(r)[1:5] == w[:4] and math.isclose(r.base_score, w[4], rel_tol=1e-9, abs_tol=1e-9) and math.isclose(r.score, w[5], rel_tol=1e-9, abs_tol=1e-9) for w in want[r.doc_id])
