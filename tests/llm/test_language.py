@@ -200,3 +200,13 @@ def test_scores_by_all_bigrams_whatever_is_broadcast(spark, odd, sizes):
         assert len(got) == len(rows)
         for r in got:
             assert any(tuple(r)[1:5] == w[:4] and math.isclose(r.base_score, w[4], rel_tol=1e-9, abs_tol=1e-9) and math.isclose(r.score, w[5], rel_tol=1e-9, abs_tol=1e-9) for w in want[r.doc_id])
+
+
+def test_equally_frequent_arcs_stay_when_they_are_more_than_the_broadcast_holds(spark):
+    from skylattice.llm import lm
+
+    docs = spark.createDataFrame([(k, f"a{k // 2} b{k // 2}") for k in range(40)], "doc_id long, text string")
+    scores = [{r.doc_id: (r.base_score, r.score) for r in lm.score_whole(docs, lm.fit_whole(docs, arcs=arcs)).collect()} for arcs in (1, 59, 60, 500_000)]
+    assert all(score > base + 1 for base, score in scores[0].values())
+    for other in scores[1:]:
+        assert all(np.allclose(scores[0][k], other[k], rtol=1e-12) for k in other)
