@@ -49,6 +49,7 @@ class Bpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.shown = {str(rank).encode(): token for token, rank in ranks.items()}
         # \s is White_Space for the original pattern's engine; that of `regex` has four controls more
         self.split = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
         self.queue = RankQueue(max(ranks.values()) + 1)
@@ -134,6 +135,10 @@ class Bpe:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def decode_shown(self, ids: bytes) -> bytes:
+        """As decode(), of decimals joined by spaces."""
+        return b"".join(map(self.shown.__getitem__, ids.split()))
+
 
 #: Bytes of text handled at once: chunks repeat, so a larger slice has fewer to look up.
 _SLICE = 6 << 20
@@ -147,11 +152,11 @@ def _worker(path: str) -> tuple[Bpe, _text.Memo]:
     return _loaded[path]
 
 
-def _chunks(rows: pa.RecordBatch, path: str) -> tuple[list[tuple[int, int]], np.ndarray, list[bytes], list[bytes]]:
-    """Each document's first and last in the list of chunks, each chunk as a number, and of the numbers the ids and what they decode to.
+def _chunks(rows: pa.RecordBatch, path: str) -> tuple[list[tuple[int, int]], np.ndarray, list[bytes]]:
+    """Each document's first and last in the list of chunks, each chunk as a number, and of the numbers the ids.
 
     No pre-token goes on past a whitespace that follows a non-whitespace, or from a letter to a mark, so a text's ids
-    are its chunks' ids in order. A chunk's ids are decoded when they are made, and again only if that gave other bytes.
+    are its chunks' ids in order.
     """
     bpe, memo = _worker(path)
     data, offsets = _text.buffer(rows["text"])
@@ -159,21 +164,21 @@ def _chunks(rows: pa.RecordBatch, path: str) -> tuple[list[tuple[int, int]], np.
     _, first, number = np.unique(h, return_index=True, return_inverse=True)
     raw = data.tobytes()
     keys = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-    shown, bare = memo.many(keys), keys.copy()
+    shown = memo.many(keys)
     for k in [k for k, v in enumerate(shown) if v is None]:
-        ids = bpe.encode(keys[k].decode())
-        shown[k], bare[k] = " ".join(map(str, ids)).encode(), bpe.decode(ids)
-        if len(keys[k]) <= 64 and bare[k] == keys[k]:
+        shown[k] = " ".join(map(str, bpe.encode(keys[k].decode()))).encode()
+        if len(keys[k]) <= 64:
             memo.put(keys[k], shown[k])
     at = np.searchsorted(doc, np.arange(rows.num_rows + 1)).tolist()
-    return list(zip(at[:-1], at[1:], strict=True)), number, shown, bare
+    return list(zip(at[:-1], at[1:], strict=True)), number, shown
 
 
 def _run(path: str, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decode = _worker(path)[0].decode_shown
         for batch in batches:
             for rows in _text.slices(batch, limit=_SLICE):
-                bounds, number, shown, bare = _chunks(rows, path)
+                bounds, number, shown = _chunks(rows, path)
                 numbers = number.tolist()
                 lists = [b" ".join(map(shown.__getitem__, numbers[a:b])) for a, b in bounds]
                 counts = pa.array([x.count(b" ") + 1 if x else 0 for x in lists], pa.int64())
@@ -182,7 +187,7 @@ def _run(path: str, digest: bool):
                     yield pa.RecordBatch.from_arrays([rows["doc_id"], counts, pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "n_tokens", "ids"])
                     continue
                 ids_sha = [hashlib.sha256(x).hexdigest() for x in lists]
-                text_sha = [hashlib.sha256(b"".join(map(bare.__getitem__, numbers[a:b]))).hexdigest() for a, b in bounds]
+                text_sha = [hashlib.sha256(decode(x)).hexdigest() for x in lists]
                 yield pa.RecordBatch.from_arrays([rows["doc_id"], counts, pa.array(ids_sha), pa.array(text_sha)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run

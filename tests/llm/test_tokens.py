@@ -164,3 +164,22 @@ def test_memo_keeps_what_is_used_and_stays_bounded():
     for k in range(10, 20):
         memo.put(k, k)
         assert memo.get(10) == 10  # what is used stays
+
+
+def test_digest_decodes_the_ids_not_the_text():
+    import hashlib
+
+    import public_tokenizers
+    import pyarrow as pa
+
+    from skylattice.llm import bpe
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoder, memo = bpe._worker(path)
+    try:
+        memo.put(b"hello", " ".join(map(str, encoder.encode("world"))).encode())
+        rows = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["hello there", None]})
+        got = next(bpe._run(path, True)(iter([rows])))["decoded_sha256"].to_pylist()
+    finally:
+        bpe._loaded.pop(path)
+    assert got == [hashlib.sha256(x).hexdigest() for x in (b"world there", b"")]
