@@ -2,7 +2,8 @@
 
 Both kinds of vocabulary used here split text before merging and no pre-token goes on past a whitespace that follows a
 non-whitespace, or from a letter to a mark, so a text's ids are the ids of its chunks in order. Chunks repeat: each distinct chunk of a slice is
-looked up once in a bounded memo and only unseen ones reach the library.
+looked up once in a bounded memo and only unseen ones reach the library. A special token written out in a text is one id, as the
+library has it by default; a text that holds one goes to the library whole.
 """
 
 from __future__ import annotations
@@ -23,18 +24,34 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.find = _text.chunks if spaces else _text.words
         self.memo = _text.Memo(limit)
 
+    def _spans(self, data: np.ndarray, offsets: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Document, first byte and end of what is encoded by itself: chunks, or all of a text that holds a special token's string."""
+        doc, starts, ends = self.find(data, offsets)
+        places = []
+        for token in self.special:
+            at = raw.find(token)
+            while at >= 0:
+                places.append(at)
+                at = raw.find(token, at + 1)
+        if not places:
+            return doc, starts, ends
+        whole = np.unique(np.searchsorted(offsets, places, "right") - 1)
+        rest = ~np.isin(doc, whole)
+        starts, ends = np.concatenate([starts[rest], offsets[whole]]), np.concatenate([ends[rest], offsets[whole + 1]])
+        order = np.argsort(starts, kind="stable")
+        return np.concatenate([doc[rest], whole])[order], starts[order], ends[order]
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids (int32) of all documents, one after the other, and how many each document has."""
-        n = len(offsets) - 1
-        doc, h, starts, ends = self.find(data, offsets)
-        if not len(h):
+        n, raw = len(offsets) - 1, data.tobytes()
+        doc, starts, ends = self._spans(data, offsets, raw)
+        if not len(doc):
             return np.zeros(0, np.int32), np.zeros(n, np.int64)
-        _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        raw = data.tobytes()
+        first, inverse = _text.distinct(data, starts, ends)
         keys = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
         values = self.memo.many(keys)
         missing = [k for k, v in enumerate(values) if v is None]

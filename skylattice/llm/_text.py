@@ -1,27 +1,26 @@
-"""Vectorised reading of Arrow text columns: words, chunks and lines as spans with 64-bit hashes.
+"""Vectorised reading of Arrow text columns: words, chunks and lines as spans of the UTF-8 bytes.
 
-A word is `[^\\x20\\x09-\\x0D]+` on the UTF-8 bytes; whitespace is ASCII, so a span never splits a code point.
-A span's hash depends on its bytes alone (a polynomial over random byte values modulo 2**64, then mixed), so
-it does not matter how a column is cut into segments, and memory follows the segment, not the document.
+A word is `[^\\x20\\x09-\\x0D]+`; whitespace is ASCII, so a span never splits a code point. Where spans begin and end
+depends on the bytes around them alone, so it does not matter how a column is cut into slices. A span's 64-bit hash chains a
+bijective mixer over its blocks of eight bytes, that of a long one is a cryptographic digest; where one span stands for
+others, `distinct` compares the bytes as well.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text handled at once; a longer document is a slice of its own and is read in segments of this size.
+#: Bytes of text handled at once; a longer document is a slice of its own.
 SLICE_BYTES = 2 << 20
-_SEGMENT = 1 << 20
-
-_rng = np.random.default_rng(20240607)
-_TABLE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Bytes looked at in one step of finding spans; decides memory alone.
+_WINDOW = 1 << 20
+#: Spans of more bytes are hashed and compared one by one.
+_LONG = 64
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -32,15 +31,6 @@ _LETTER = ((_BYTES >= 65) & (_BYTES <= 90)) | ((_BYTES >= 97) & (_BYTES <= 122))
 _MARK = (_BYTES >= 33) & (_BYTES <= 126) & ~_LETTER & ~((_BYTES >= 48) & (_BYTES <= 57))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _INVERSE)):
-            _powers[k] = np.full(n, base, np.uint64)
-            _powers[k][0] = 1
-            np.multiply.accumulate(_powers[k], out=_powers[k])
-    return _powers[0], _powers[1]
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective finaliser on uint64."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -68,115 +58,97 @@ def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def _cut(space: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Segments that end at a document's end or before a space that follows a non-space."""
-    n, at = len(space), 0
-    while at < n:
-        to = at + _SEGMENT
-        if to >= n:
-            to = n
-        else:
-            last = int(offsets[np.searchsorted(offsets, to, "right") - 1])
-            if last > at:
-                to = last
-            else:
-                step = 4096
-                while True:
-                    found = np.flatnonzero(space[to : to + step] & ~space[to - 1 : min(to + step, n) - 1])
-                    stop = int(offsets[np.searchsorted(offsets, to, "left")])
-                    if len(found) and to + int(found[0]) <= stop:
-                        to += int(found[0])
-                        break
-                    if to + step >= stop:
-                        to = stop
-                        break
-                    step *= 4
-        yield at, to
-        at = to
-
-
-def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray | None) -> np.ndarray:
-    n = len(data)
-    power, inverse = _power(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((_TABLE if fold is None else _TABLE[fold])[data] * power[:n], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-
-
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each word: its document's index, hash (A-Z folded if `lower`), first byte and end."""
-    return _spans(data, offsets, LOWER if lower else None, False)
-
-
-def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _blocks(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number, zeros after the end."""
+    return np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+
+
+_KEPT = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans, which depend on their bytes alone."""
+    n, blocks = ends - starts, _blocks(data)
+    h = mix((blocks[starts] & _KEPT[np.minimum(n, 8)]) + n.astype(np.uint64) * _FACTOR)
+    at, more = 8, np.flatnonzero((n > 8) & (n <= _LONG))
+    while len(more):
+        h[more] = mix(h[more] * _FACTOR + (blocks[starts[more] + at] & _KEPT[np.minimum(n[more] - at, 8)]))
+        at += 8
+        more = more[n[more] > at]
+    for k in np.flatnonzero(n > _LONG).tolist():
+        h[k] = int.from_bytes(hashlib.blake2b(data[starts[k] : ends[k]], digest_size=8).digest(), "little")
+    return h
+
+
+def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of each group of spans with the same bytes, and each span's group. Hashes group them, bytes confirm it."""
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    _, first, group = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
+    like, n, blocks = first[group], ends - starts, _blocks(data)
+    same = n == n[like]
+    more, at = np.flatnonzero(same & (like != np.arange(len(n)))), 0
+    while len(more):
+        short = n[more] <= _LONG
+        for k in more[~short].tolist():
+            same[k] = np.array_equal(data[starts[k] : ends[k]], data[starts[like[k]] : ends[like[k]]])
+        more = more[short]
+        differ = (blocks[starts[more] + at] ^ blocks[starts[like[more]] + at]) & _KEPT[np.minimum(n[more] - at, 8)] != 0
+        same[more[differ]] = False
+        at += 8
+        more = more[~differ & (n[more] > at)]
+    if not same.all():
+        seen: dict[bytes, int] = {}
+        raw = data.tobytes()
+        group = np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+        first = np.unique(group, return_index=True)[1]
+    return first, group
+
+
+def _edges(offsets: np.ndarray, at: int, to: int) -> np.ndarray:
+    """Of the places at .. to, which begin or end a document."""
+    edge = np.zeros(to - at + 1, bool)
+    edge[offsets[np.searchsorted(offsets, at, "left") : np.searchsorted(offsets, to, "right")] - at] = True
+    return edge
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word: its document's index, first byte and end."""
+    n, starts, ends = len(data), [], []
+    for at in range(0, n, _WINDOW):
+        to = min(at + _WINDOW, n)
+        # solid[k] is of the byte at + k - 1; before the first and after the last byte there is none
+        solid = np.zeros(to - at + 2, bool)
+        low, high = max(at - 1, 0), min(to + 1, n)
+        solid[low - at + 1 : high - at + 1] = ~IS_SPACE[data[low:high]]
+        edge = _edges(offsets, at, to)
+        starts.append(np.flatnonzero(solid[1:-1] & (~solid[:-2] | edge[:-1])) + at)
+        ends.append(np.flatnonzero(solid[1:-1] & (~solid[2:] | edge[1:])) + at + 1)
+    starts, ends = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (starts, ends))
+    return np.searchsorted(offsets, starts, "right") - 1, starts, ends
+
+
+def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """As words(), but each with the whitespace before it, and a document's trailing whitespace as one more.
 
     There is a further cut between an ASCII letter and an ASCII mark. No cut follows a byte that may end a Unicode space,
     so that runs of mixed whitespace stay together.
     """
-    return _spans(data, offsets, None, True)
-
-
-def _spans(data, offsets, fold, lead):
-    space = IS_SPACE[data]
-    found = []
-    for at, to in _cut(space, offsets):
-        part, gap = data[at:to], space[at:to]
-        edge = np.zeros(to - at + 1, bool)
-        inside = offsets[np.searchsorted(offsets, at, "left") : np.searchsorted(offsets, to, "right")]
-        edge[inside - at] = True
-        edge[0] = edge[-1] = True
-        if lead:
-            stop = np.zeros(to - at + 1, bool)
-            stop[1:-1] = gap[1:] & ~gap[:-1]
-            if len(part) > 2:
-                odd = (part >= 0x80) & (part <= 0xAF)
-                odd[1:] &= np.isin(part[:-1], (0xC2, 0x80, 0x81, 0x9A))
-                odd |= (part >= 0x1C) & (part <= 0x1F)
-                stop[1:-1] &= ~odd[:-1]
-            stop[1:-1] |= _MARK[part[1:]] & _LETTER[part[:-1]]
-            cuts = np.flatnonzero(stop | edge)
-            starts, ends = cuts[:-1], cuts[1:]
-        else:
-            solid = ~gap
-            first, last = solid.copy(), solid.copy()
-            first[1:] &= gap[:-1] | edge[1:-1]
-            last[:-1] &= gap[1:] | edge[1:-1]
-            starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-        found.append((starts + at, ends + at, _hashes(part, starts, ends, fold)))
-    if not found:
-        none = np.zeros(0, np.int64)
-        return none, np.zeros(0, np.uint64), none, none
-    starts, ends, h = (np.concatenate(x) for x in zip(*found, strict=True))
-    return np.searchsorted(offsets, starts, "right") - 1, h, starts, ends
-
-
-def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each \\n-split line: its document's index, hash, first byte and end; a document has at least one line.
-
-    A line is hashed in parts of a segment, so a long document takes no more memory than its lines need.
-    """
-    breaks = np.flatnonzero(data == 10)
-    starts = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
-    ends = np.sort(np.concatenate([offsets[1:], breaks]), kind="stable")
-    doc = np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, breaks, "right") - 1])
-    doc.sort(kind="stable")
-    h = np.zeros(len(starts), np.uint64)
-    at = 0
-    while at < len(starts):
-        to = max(at + 1, int(np.searchsorted(ends, starts[at] + _SEGMENT, "right")))
-        low = int(starts[at])
-        if int(ends[to - 1]) - low <= 4 * _SEGMENT:
-            h[at:to] = _hashes(data[low : int(ends[to - 1])], starts[at:to] - low, ends[at:to] - low, None)
-        else:  # one line longer than several segments
-            total = np.zeros(1, np.uint64)
-            for cut in range(low, int(ends[at]), _SEGMENT):
-                part = data[cut : min(cut + _SEGMENT, int(ends[at]))]
-                total = mix(total + _hashes(part, np.zeros(1, np.int64), np.full(1, len(part)), None))
-            h[at] = total[0]
-            to = at + 1
-        at = to
-    return doc, h, starts, ends
+    n, found = len(data), [np.zeros(0, np.int64)]
+    for at in range(0, n, _WINDOW):
+        to = min(at + _WINDOW, n)
+        low = max(at - 2, 0)
+        part = data[low:to]
+        gap = IS_SPACE[part]
+        odd = (part >= 0x80) & (part <= 0xAF)
+        odd[1:] &= np.isin(part[:-1], (0xC2, 0x80, 0x81, 0x9A))
+        odd |= (part >= 0x1C) & (part <= 0x1F)
+        stop = np.zeros(len(part), bool)
+        stop[1:] = (gap[1:] & ~gap[:-1] & ~odd[:-1]) | (_MARK[part[1:]] & _LETTER[part[:-1]])
+        found.append(np.flatnonzero(stop[at - low :] | _edges(offsets, at, to)[:-1]) + at)
+    starts = np.concatenate(found)
+    return np.searchsorted(offsets, starts, "right") - 1, starts, np.append(starts[1:], n)[: len(starts)]
 
 
 def per_document(doc: np.ndarray, n: int, weights: np.ndarray | None = None) -> np.ndarray:

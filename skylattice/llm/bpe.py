@@ -4,7 +4,9 @@ Each merge rank has a bucket of linked-list positions; three levels of 64-bit wo
 find-first-set on three words gives the lowest rank. A merge leaves its neighbours' old entries behind; an entry whose
 pair has changed since is stale and is skipped. A pre-token of n bytes takes O(n log n) at worst, however long it is.
 
-Defined results: a null or empty text has no ids; rows are independent; other columns are not read.
+Defined results: a null or empty text has no ids; rows are independent, so repeated rows and rows that share a doc_id repeat
+their results, and a row with a null doc_id keeps it; a text of any length is one unit of work, cut nowhere; an empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -160,8 +162,8 @@ def _chunks(rows: pa.RecordBatch, path: str) -> tuple[list[tuple[int, int]], np.
     """
     bpe, memo = _worker(path)
     data, offsets = _text.buffer(rows["text"])
-    doc, h, starts, ends = _text.chunks(data, offsets)
-    _, first, number = np.unique(h, return_index=True, return_inverse=True)
+    doc, starts, ends = _text.chunks(data, offsets)
+    first, number = _text.distinct(data, starts, ends)
     raw = data.tobytes()
     keys = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
     shown = memo.many(keys)

@@ -7,8 +7,9 @@ smallest of the other, until one partition is left. k starts at the least number
 fullest window exceeds its capacity. Batches lie within a partition, so there is no shuffle and a lost task is redone
 alone; batches are bounded in tokens, so memory does not follow the input.
 
-Defined results: a null or empty text is its end id alone; repeated rows are packed each on its own; an empty table gives
-no pieces; other columns are not read; rows with a null doc_id are packed like the others.
+Defined results: a null or empty text is its end id alone; repeated rows and rows that share a doc_id are packed each on its
+own; a text of any length is encoded whole; an empty table gives no pieces; other columns are not read; rows with a null doc_id
+are packed like the others.
 """
 
 from __future__ import annotations

@@ -3,8 +3,10 @@
 `ledger` reads each text once and keeps measurements and bits; `apply_policy` turns bits into a verdict by a versioned
 mask, and `ablations` computes what each rule of a policy removes, alone and at all, from the bits by one aggregation.
 
-Defined results: a null text has no words and fails `few_words`; rows are independent, so repeated rows repeat their
-results; an empty table gives an empty ledger; columns other than the id and the text are not read.
+Defined results: a null, empty or blank text has no words and no lines and fails `few_words`; rows are independent, so repeated
+rows and rows that share a doc_id repeat their results, and a row with a null doc_id keeps it; a text of any length is measured
+whole, words and lines are compared by their bytes; an empty table gives an empty ledger; columns other than the id and the
+text are not read.
 """
 
 from __future__ import annotations
@@ -49,22 +51,28 @@ def _sum(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def _repeated_words(doc: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
-    """Words of each document that lie in a window of WINDOW words which the document has at least twice."""
-    if len(h) < WINDOW:
+def _pair_names(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Numbers for pairs of numbers: equal ones for equal pairs alone."""
+    return np.unique(left * (int(right.max()) + 1) + right, return_inverse=True)[1]
+
+
+def _repeated_words(doc: np.ndarray, name: np.ndarray, n: int) -> np.ndarray:
+    """Words of each document that lie in a window of WINDOW words which the document has at least twice.
+
+    A window's name is built from those of its halves, so that equal names stand for equal words.
+    """
+    if len(name) < WINDOW:
+        return np.zeros(n, np.int64)
+    half = 1
+    while half < WINDOW:
+        name = _pair_names(name[:-half], name[half:])
+        half *= 2
+    at = np.flatnonzero(doc[: len(name)] == doc[WINDOW - 1 :])
+    if not len(at):
         return np.zeros(n, np.int64)
-    m = len(h) - WINDOW + 1
-    key = np.zeros(m, np.uint64)
-    for k in range(WINDOW):
-        key = _text.mix(key + h[k : k + m])
-    inside = doc[:m] == doc[WINDOW - 1 :]
-    key = _text.mix(key ^ doc[:m].astype(np.uint64))
-    order = np.argsort(key[inside], kind="stable")
-    at, k = np.flatnonzero(inside)[order], key[inside][order]
-    same = np.zeros(len(k) + 1, bool)
-    same[1:-1] = k[1:] == k[:-1]
-    begin = np.zeros(len(h) + 1, np.int64)
-    twice = at[same[:-1] | same[1:]]
+    _, own, times = np.unique(doc[at] * (int(name.max()) + 1) + name[at], return_inverse=True, return_counts=True)
+    twice = at[times[own] > 1]
+    begin = np.zeros(len(doc) + 1, np.int64)
     np.add.at(begin, twice, 1)
     np.add.at(begin, twice + WINDOW, -1)
     return _text.per_document(doc[np.cumsum(begin[:-1]) > 0], n)
@@ -74,23 +82,18 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in _text.slices(batch):
             data, offsets = _text.buffer(part["text"])
-            n = part.num_rows
-            doc, h, _, _ = _text.words(data, offsets)
-            line_doc, line_hash, starts, ends = _text.lines(data, offsets)
-            solid = np.zeros(len(data) + 1, np.int64)
-            np.cumsum(~_text.IS_SPACE[data], out=solid[1:])
-            full = solid[ends] > solid[starts]
-            line_doc, line_hash = line_doc[full], line_hash[full]
-            n_lines = _text.per_document(line_doc, n)
-            order = np.lexsort((line_hash, line_doc))
-            again = (line_doc[order][1:] == line_doc[order][:-1]) & (line_hash[order][1:] == line_hash[order][:-1])
+            n, raw = part.num_rows, data.tobytes()
+            doc, starts, ends = _text.words(data, offsets)
+            _, word = _text.distinct(data, starts, ends)
+            # bytes.strip() strips just [\x20\x09-\x0D]
+            lines = [[x for x in raw[a:b].split(b"\n") if x.strip()] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             found = {
                 "n_words": _text.per_document(doc, n),
                 "word_chars": _sum(~_text.IS_SPACE[data] & ((data & 0xC0) != 0x80), offsets),
                 "n_symbols": _sum(_SYMBOL[data], offsets),
-                "n_dup_lines": _text.per_document(line_doc[order][1:][again], n),
-                "n_repeat_words": _repeated_words(doc, h, n),
-                "n_lines": n_lines,
+                "n_dup_lines": np.array([len(x) - len(set(x)) for x in lines], np.int64),
+                "n_repeat_words": _repeated_words(doc, word, n),
+                "n_lines": np.array([len(x) for x in lines], np.int64),
                 "n_capitals": _sum(_UPPER[data], offsets),
                 "n_letters": _sum(_LETTER[data], offsets),
             }

@@ -6,7 +6,8 @@ filter, and read stripes in parallel. Every row knows its file's number and its
 document follow from the files' sums, which need the `n_tokens` stream alone.
 
 Defined results: a null or empty text is the end id alone; rows with a null doc_id come first; rows that share a doc_id
-are all kept, side by side; an empty table gives a store without rows; other columns are not read.
+are all kept, side by side; a text of any length is encoded whole; an empty table gives a store without rows; other columns
+are not read.
 """
 
 from __future__ import annotations

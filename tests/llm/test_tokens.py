@@ -19,7 +19,6 @@ from tests_llm_data import SF
 
 def library(name):
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
