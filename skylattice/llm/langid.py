@@ -3,12 +3,16 @@
 `fit` counts the vocabulary's pieces in each language over all training texts; `predict` sums, for every word and
 language, the probabilities of all segmentations of the word into pieces by a forward algorithm, and a text's score is
 the sum of its words' logarithms. Pieces do not cross words, so each distinct word of a slice is worked out once, all of
-them at the same time. A word is handled in stretches of 24 code points, which keeps sums within double range.
+them at the same time, and sums are scaled on the way. A word of more than WHOLE code points is a chain of stretches: each
+stretch is a matrix from the forward sums before it to those after it, so that no segmentation is left out.
 
-The model is languages x pieces numbers; `fit` refuses more than `max_languages`, so what is broadcast is bounded.
+The model is languages x pieces numbers. Its size is bounded by `max_languages`: of more labels than that, the ones with the
+most training documents are learnt, by name where equal, and the others are never predicted.
 
 Defined results: `und` with score 0 for a null text, a text without a letter, or a model without languages; training rows
-with a null text or language are left out; a null doc_id counts as held out; repeated rows repeat their results.
+with a null text or language are left out; languages that tie give the first by name; a null doc_id counts as held out;
+repeated rows and rows that share a doc_id repeat their results; a text of any length is read whole; an empty table gives no
+rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,15 +24,21 @@ from dataclasses import dataclass
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylattice.llm import _text
-from skylattice.llm._shared import documents
+from skylattice.llm._shared import cut, documents
 
 UNDETERMINED = "und"
-STRETCH = 24
+#: Code points of a word that is worked out in one go, of the stretches of a longer one, and between two scalings.
+WHOLE = 64
+STRETCH = 16
+SCALED = 8
 SMOOTHING = 0.1
+#: A text whose best language is not more probable than all others together has none.
+LEAST_SCORE = 0.5
 _MARK = "▁"
 
 _cache: dict = {}
@@ -45,9 +55,10 @@ def _processor(path: str):
 def _unique_words(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Each word's document and number, and the distinct words (A-Z folded)."""
     data, offsets = _text.buffer(rows["text"])
-    doc, h, starts, ends = _text.words(data, offsets, lower=True)
-    _, first, number = np.unique(h, return_index=True, return_inverse=True)
-    raw = _text.LOWER[data].tobytes()
+    data = _text.LOWER[data]
+    doc, starts, ends = _text.words(data, offsets)
+    first, number = _text.distinct(data, starts, ends)
+    raw = data.tobytes()
     return doc, number, [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
 
 
@@ -98,32 +109,39 @@ class Model:
 def fit(docs: DataFrame, vocabulary: str, text_col: str = "text", lang_col: str = "lang", max_languages: int = 200) -> Model:
     """Piece counts of all rows with a text and a language: one pass, and one row per task, language and piece."""
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = rows.mapInArrow(_count(vocabulary), "lang string, piece int, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n"))
+    counts = cut(rows.mapInArrow(_count(vocabulary), "lang string, piece int, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n")))
     n_pieces = _processor(vocabulary).get_piece_size()
-    found = counts.limit((max_languages + 1) * (n_pieces + 1) + 1).collect()
-    languages = sorted({r.lang for r in found})
-    if len(languages) > max_languages:
-        raise ValueError(f"more than {max_languages} languages; raise max_languages if the model may be that large")
+    most = counts.where(F.col("piece") == n_pieces).orderBy(F.desc("n"), "lang").limit(max_languages)
+    languages = sorted(r.lang for r in most.select("lang").collect())
     table = np.zeros((n_pieces + 1, len(languages)))
-    for r in found:
-        table[r.piece, languages.index(r.lang)] = r.n
-    prior = np.log(table[-1]) if languages else np.zeros(0)
+    if languages:
+        found = counts.where(F.col("lang").isin(languages)).toArrow()  # at most max_languages * (n_pieces + 1) rows
+        where = {name: k for k, name in enumerate(languages)}
+        table[found["piece"].to_numpy(), [where[x] for x in found["lang"].to_pylist()]] = found["n"].to_numpy()
+    prior = np.log(table[-1])
     table[-1] = 0
     table += SMOOTHING
     return Model(languages, vocabulary, table / table.sum(axis=0), prior, uuid.uuid4().hex)
 
 
+def _extended(h: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Hashes of strings with one more code point before them."""
+    return _text.mix(h * np.uint64(0x9E3779B97F4A7C15) + code + np.uint64(1))
+
+
 class _Forward:
     """Sums over segmentations, for many words at once."""
 
     def __init__(self, model: Model) -> None:
         sp = _processor(model.vocabulary)
         names = [(k, sp.id_to_piece(k)) for k in range(sp.get_piece_size()) if not (sp.is_byte(k) or sp.is_control(k) or sp.is_unknown(k))]
-        self.longest = min(STRETCH, max(len(x) for _, x in names))
-        flat = np.frombuffer("".join(x for _, x in names).encode("utf-32-le"), np.uint32)
-        ends = np.cumsum([len(x) for _, x in names])
-        starts = np.concatenate([[0], ends[:-1]])
-        keys = self._hash(flat, starts, ends)
+        lengths = np.array([len(x) for _, x in names])
+        self.longest = int(lengths.max())
+        flat, ends = self._codes([x for _, x in names]), np.cumsum(lengths)
+        keys = np.zeros(len(names), np.uint64)
+        for n in range(1, self.longest + 1):
+            has = np.flatnonzero(lengths >= n)
+            keys[has] = _extended(keys[has], flat[ends[has] - n])
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array([k for k, _ in names])[order]
         self.p, self.unknown = model.pieces, len(model.pieces) - 1
@@ -131,41 +149,89 @@ class _Forward:
         self.known = np.zeros((0, len(model.languages) + 1))
 
     @staticmethod
-    def _hash(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        power, inverse = _text._power(len(flat) + 1)
-        sums = np.zeros(len(flat) + 1, np.uint64)
-        np.cumsum(_text.mix(flat.astype(np.uint64) + np.uint64(1)) * power[: len(flat)], out=sums[1:])
-        return _text.mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    def _codes(strings: list[str]) -> np.ndarray:
+        return np.frombuffer("".join(strings).encode("utf-32-le"), np.uint32).astype(np.uint64)
 
-    def words(self, words: list[bytes]) -> np.ndarray:
-        """Log-likelihoods, words x languages, and in a last column whether the word has a letter."""
-        shown = [_MARK + w.decode() for w in words]
-        flat = np.frombuffer("".join(shown).encode("utf-32-le"), np.uint32)
-        lengths = np.fromiter(map(len, shown), np.int64, len(shown))
-        ends = np.cumsum(lengths)
-        word = np.repeat(np.arange(len(shown)), lengths)
-        place = (np.arange(len(flat)) - np.repeat(ends - lengths, lengths)) % STRETCH
-        arcs = []
-        for n in range(1, self.longest + 1):
+    def _arcs(self, flat: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces that end at a code point and begin at most `place` before it: last code point, length, piece.
+
+        A code point that is no piece counts as an unknown one, so that something always ends everywhere.
+        """
+        h, found = np.zeros(len(flat), np.uint64), []
+        for n in range(1, min(self.longest, len(flat)) + 1):
+            h[n - 1 :] = _extended(h[n - 1 :], flat[: len(flat) - n + 1])
             last = np.flatnonzero(place >= n - 1)
-            h = self._hash(flat, last + 1 - n, last + 1)
-            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-            hit = self.keys[at] == h
+            at = np.minimum(np.searchsorted(self.keys, h[last]), len(self.keys) - 1)
+            hit = self.keys[at] == h[last]
             piece = self.ids[at]
             if n == 1:
                 piece, hit = np.where(hit, piece, self.unknown), np.ones(len(last), bool)
-            arcs.append((place[last][hit], np.full(int(hit.sum()), n), last[hit], piece[hit]))
-        to, n, last, piece = (np.concatenate(x) for x in zip(*arcs, strict=True))
-        order = np.lexsort((n, to))
-        to, n, last, piece = to[order], n[order], last[order], piece[order]
-        group = np.flatnonzero(np.diff(to * (STRETCH + 1) + n, prepend=-1))
-        forward = np.zeros((len(flat) + 1, self.p.shape[1]))
-        for a, b in zip(group, [*group[1:], len(to)], strict=True):
-            end, p = last[a:b], self.p[piece[a:b]]
-            forward[end] += p if n[a] == to[a] + 1 else forward[end - n[a]] * p
-        stop = np.flatnonzero((place == STRETCH - 1) | (np.arange(1, len(flat) + 1) == ends[word]))
+            found.append((last[hit], np.full(int(hit.sum()), n), piece[hit]))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    def _short(self, shown: list[str]) -> np.ndarray:
+        """Log-likelihoods of words of at most WHOLE code points."""
+        flat, lengths = self._codes(shown), np.fromiter(map(len, shown), np.int64, len(shown))
+        ends, word = np.cumsum(lengths), np.repeat(np.arange(len(shown)), lengths)
+        place = np.arange(len(flat)) - np.repeat(ends - lengths, lengths)
+        last, n, piece = self._arcs(flat, place)
+        order = np.lexsort((n, place[last]))
+        last, n, piece = last[order], n[order], piece[order]
+        to = place[last]
+        group = np.flatnonzero(np.diff(to * (self.longest + 1) + n, prepend=-1))
+        forward = np.zeros((len(flat), self.p.shape[1]))
+        begin, log = np.ones((len(shown), self.p.shape[1])), np.zeros((len(shown), self.p.shape[1]))
+        for a, b in zip(group.tolist(), [*group[1:].tolist(), len(to)], strict=True):
+            end, p, t = last[a:b], self.p[piece[a:b]], int(to[a])
+            forward[end] += p * (begin[word[end]] if n[a] == t + 1 else forward[end - n[a]])
+            if t % SCALED == SCALED - 1 and (b == len(to) or to[b] != t):
+                done = np.flatnonzero(place == t)
+                reach = done[:, None] - np.arange(min(self.longest, t + 1))
+                scale = forward[reach].max(axis=1)
+                forward[reach] /= scale[:, None]
+                begin[word[done]] /= scale
+                log[word[done]] += np.log(scale)
+        return np.log(forward[ends - 1]) + log
+
+    def _long(self, shown: str) -> np.ndarray:
+        """Log-likelihoods of one word of any length."""
+        flat, reach, langs = self._codes([shown]), self.longest, self.p.shape[1]
+        sums, log = np.zeros((reach, langs)), np.zeros(langs)  # forward sums of the last `reach` places, the latest one last
+        sums[-1] = 1
+        step = max(1, (1 << 21) // ((STRETCH + reach) * reach * langs)) * STRETCH
+        for at in range(0, len(flat), step):
+            to, low = min(at + step, len(flat)), max(at - reach + 1, 0)
+            last, n, piece = self._arcs(flat[low:to], np.arange(to - low) + min(low, 1) * reach)
+            inside = last >= at - low
+            last, n, piece = last[inside] + low - at, n[inside], piece[inside]
+            inside = last + 1 - n + at >= 0
+            last, n, piece = last[inside], n[inside], piece[inside]
+            rows = -(-(to - at) // STRETCH)
+            each = np.zeros((rows, reach + STRETCH, reach, langs))
+            each[:, np.arange(reach), np.arange(reach)] = 1
+            place = last % STRETCH
+            order = np.lexsort((n, place))
+            last, n, piece, place = last[order], n[order], piece[order], place[order]
+            group = np.flatnonzero(np.diff(place * (reach + 1) + n, prepend=-1)).tolist()
+            for a, b in zip(group, [*group[1:], len(n)], strict=True):
+                row, t = last[a:b] // STRETCH, int(place[a])
+                each[row, reach + t] += each[row, reach + t - n[a]] * self.p[piece[a:b]][:, None, :]
+            for k in range(rows):
+                size = min(STRETCH, to - at - k * STRETCH)
+                sums = np.einsum("ijl,jl->il", each[k, size : size + reach], sums)
+                scale = sums.max(axis=0)
+                sums, log = sums / scale, log + np.log(scale)
+        return np.log(sums[-1]) + log
+
+    def words(self, words: list[bytes]) -> np.ndarray:
+        """Log-likelihoods, words x languages, and in a last column whether the word has a letter."""
+        shown = [_MARK + w.decode() for w in words]
         out = np.zeros((len(shown), self.p.shape[1] + 1))
-        np.add.at(out[:, :-1], word[stop], np.log(forward[stop]))
+        short = np.array([len(w) <= WHOLE for w in shown])
+        if short.any():
+            out[short, :-1] = self._short([w for w in shown if len(w) <= WHOLE])
+        for k in np.flatnonzero(~short).tolist():
+            out[k, :-1] = self._long(shown[k])
         out[:, -1] = [any(map(str.isalpha, w)) for w in shown]
         return out
 
@@ -208,11 +274,17 @@ def _predict(shared):
     return run
 
 
-def _keep(shared):
+def _keep(shared, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
             for rows in _text.slices(batch):
-                yield rows.filter(pa.array(_labels(shared.value, rows)[0]))
+                known, best, score = _labels(model, rows)
+                keep = known & (score >= least)
+                names = pa.array([model.languages[k] if ok else None for k, ok in zip(best.tolist(), keep.tolist(), strict=True)], pa.string())
+                at = rows.schema.get_field_index("lang")
+                told = pc.coalesce(rows["lang"].cast(pa.string()), names)
+                yield rows.set_column(at, "lang", told).filter(pa.array(keep))
 
     return run
 
@@ -227,9 +299,15 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model)), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def recognised(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of `docs`, which has the column text, whose language is told; the texts stay where they are."""
-    return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(model)), docs.schema)
+def recognised(docs: DataFrame, model: Model, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of `docs` (text, a string column lang and more) whose language is told with a score of `least` or more.
+
+    The language that was told is handed on in `lang` where that is null; the texts stay where they are. A model without
+    languages can reject nothing but texts without a letter.
+    """
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    return docs.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(model), least), docs.schema)
 
 
 def training_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
