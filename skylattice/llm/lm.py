@@ -1,521 +1,261 @@
 """Language-model scores by a weighted backoff automaton over the corpus's own n-grams.
 
-States are all tokens and a root. A state's arcs are all its bigrams, absolutely discounted; its
-failure arc leads to the root with the weight that makes the state's probabilities add up to one; the root's arcs are
-all tokens of the training rows, add-one smoothed. A text is read from left to right once: the state takes the arc
-of the next token, or fails to the root and takes the token's arc there, and the logarithms add up.
+States are the pairs of tokens, the tokens and the empty history that the training rows have. A state's arcs are the tokens
+seen after it; a token that has no arc takes the failure arc, whose weight stands for the state's unseen tokens, to the state
+without the first token. Counts are smoothed by Dirichlet priors, so that a state's probabilities add up to one:
 
-All counts are taken over all training rows, and no size decides what the model has. What is broadcast is bounded: the HEAD
-most frequent tokens with their counts and failure weights, and the ARCS most frequent bigrams. Every other token's arc and
-every other bigram, however many there are, stays in distributed tables and reaches the texts that need it by a join.
-Tokens are compared by 64-bit hashes, bigrams with a token outside the head by 63-bit ones of both.
+    p(w | u v) = (n(u v w) + B * p(w | v)) / (n(u v) + B),   failure weight B / (n(u v) + B)
 
-`fit` and `score`, with sizes, are the automaton cut to HISTORIES states and ARCS bigrams seen twice or more; the query does not use them.
+and the root's arcs are all tokens, add-one smoothed. A text is read from left to right; the state after a token is the
+longest history that the automaton has, so all places of a text can follow their arcs at the same time.
+
+All n-grams of all training rows count, whatever the size of the corpus, and nothing that grows with it is broadcast or
+collected. Texts are read once and written as blocks of token numbers, which are read again from there. Every block sends its different n-grams with its own
+counts, sorted and packed by hash range, to the task that adds that range up; back come only the totals that differ from the
+block's own count. A frequent n-gram has one entry in each block at most, so no task meets a hot key. Each block is then
+scored by itself with the arcs that it needs.
+
+Tokens and n-grams are told apart by 64-bit hashes of their bytes.
 
 Defined results: a null or empty text is the end token alone; a null doc_id counts as held out; rows are scored each on
-its own, repeated rows repeat their results; without training rows every token has the probability 1 / (0 + 1);
-an empty table gives no rows; other columns are not read.
+its own, repeated rows and rows that share a doc_id have a result each; a text of any length is read whole; without training
+rows every token has the probability 1 / (0 + 1); an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylattice.llm import _text
-from skylattice.llm._shared import cut, documents, new_folder
+from skylattice.llm._shared import Scratch, cut, documents
 from skylattice.llm.langid import held_out
 
-#: Tokens and bigrams that are broadcast, at most; in the cut automaton, those that it has, and its states.
-HEAD = 400_000
-HISTORIES = 1 << 16
-ARCS = 500_000
-DISCOUNT = 0.75
-#: The hash of the end token; before a text's first word the state is that of the end.
+#: The most tokens of an n-gram, unless a caller says otherwise.
+ORDER = 2
+#: B of the formula, by the number of tokens in the history.
+PRIOR = (0.0, 300.0, 100.0)
+#: Bytes of text in a block.
+BLOCK_BYTES = 4 << 20
+#: The hash of the end token; before a text's first token the history is the end.
 END = np.uint64(0x5851F42D4C957F2D)
-#: Different entries that a task holds before it hands them on.
-_HELD = 1_500_000
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
+_BLOCK = "block long, keys binary, ids binary, lengths binary, doc_ids array<long>, held array<boolean>"
+_BLOCK_SCHEMA = pa.schema([("block", pa.int64()), ("keys", pa.binary()), ("ids", pa.binary()), ("lengths", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_()))])
+#: The n-grams of one order and range of a block.
+_SENT = "block long, kind int, bucket int, keys binary, counts binary"
+_SENT_SCHEMA = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+#: What comes back for it: places in its range, and the totals there.
+_BACK = "block long, kind int, bucket int, places binary, totals binary"
+_BACK_SCHEMA = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("places", pa.binary()), ("totals", pa.binary())])
 
-def _tokens(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Document and hash of each token, a document's end included, in order."""
-    doc, h, _, _ = _text.words(*_text.buffer(rows["text"]), lower=True)
-    n = rows.num_rows
-    counts = np.bincount(doc, minlength=n) if len(doc) else np.zeros(n, np.int64)
-    ends = np.cumsum(counts + 1) - 1
-    out = np.full(len(h) + n, END)
-    keep = np.ones(len(out), bool)
-    keep[ends] = False
-    out[keep] = h
-    return np.repeat(np.arange(n), counts + 1), out
-
-
-class _Counter:
-    """Counts of integers in sorted arrays."""
-
-    def __init__(self) -> None:
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
-        self.size = 0
-
-    def add(self, keys: np.ndarray) -> None:
-        self.parts.append(np.unique(keys, return_counts=True))
-        self.size += len(self.parts[-1][0])
-
-    def merge(self) -> None:
-        keys, n = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        self.parts = [(keys[first], np.add.reduceat(n, first))]
-        self.size = len(first)
-
-    def batches(self, last: bool) -> Iterator[pa.RecordBatch]:
-        """What is to be handed on now: all at the end, before it only when too much is held."""
-        if self.parts and (last or self.size > 2 * _HELD):
-            self.merge()
-            if last or self.size > _HELD:
-                keys, n = self.parts[0]
-                self.parts, self.size = [], 0
-                for at in range(0, len(keys), 100_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + 100_000].view(np.int64)), pa.array(n[at : at + 100_000].astype(np.int64))], ["token", "n"])
-
-
-def _count(keys_of):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter()
-        for batch in batches:
-            for rows in _text.slices(batch):
-                keys = keys_of(rows)
-                if len(keys):
-                    counter.add(keys)
-                yield from counter.batches(False)
-        yield from counter.batches(True)
 
-    return run
+def _packed(values: np.ndarray) -> bytes:
+    """All first bytes of the numbers, then all second ones and so on: sorted and small numbers compress well that way."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
 
 
-def _most_frequent(counts: DataFrame, limit: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of the entries from the least count on that at most `limit` entries reach; by falling count."""
-    bucket = F.floor(16 * F.log2("n")).cast("int")
-    sizes = sorted(((r.b, r.k) for r in counts.where(F.col("n") >= least).groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("k")).collect()), reverse=True)
-    total, cutoff = 0, None
-    for b, k in sizes:
-        total += k
-        if total > limit:
-            break
-        cutoff = b
-    if cutoff is None:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    found = counts.where((F.col("n") >= least) & (bucket >= cutoff)).select("token", "n").toArrow()
-    keys, n = found["token"].to_numpy(), found["n"].to_numpy()
-    order = np.lexsort((keys, -n))
-    return keys[order], n[order]
-
-
-@dataclass
-class Model:
-    key: str
-    train_tokens: int
-    vocabulary: int
-    #: Hashes of the head in ascending order, the rank of each, and the counts by rank.
-    hashes: np.ndarray
-    ranks: np.ndarray
-    counts: np.ndarray
-    #: Arcs as history rank << 32 | token rank in ascending order, their weights, and the failure weights by history (log10).
-    arcs: np.ndarray
-    weights: np.ndarray
-    failure: np.ndarray
-
-    def root(self, count):
-        """log10 of the root's arcs for tokens of these counts."""
-        return np.log10((np.asarray(count) + 1) / (self.train_tokens + self.vocabulary + 1))
-
-    def rank(self, h: np.ndarray) -> np.ndarray:
-        """The tokens' ranks in the head, -1 for others."""
-        if not len(self.hashes):
-            return np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, self.ranks[at], -1)
-
-
-def _pairs(shared):
-    def keys_of(rows: pa.RecordBatch) -> np.ndarray:
-        model, states = shared.value
-        doc, h = _tokens(rows)
-        rank, end = model.rank(h), model.rank(np.array([END]))[0]
-        history = np.concatenate([[end], rank[:-1]])
-        history[np.flatnonzero(np.diff(doc, prepend=-1))] = end
-        good = (rank >= 0) & (history >= 0) & (history < states)
-        return (history[good] << 32) | rank[good]
-
-    return keys_of
-
-
-def fit(docs: DataFrame, head: int = HEAD, histories: int = HISTORIES, arcs: int = ARCS, text_col: str = "text") -> tuple[Model, DataFrame]:
-    """The automaton of all rows of `docs`, and the table (token, n) of all tokens' counts."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(text_col).alias("text"))
-    schema = "token long, n long"
-    counts = cut(rows.mapInArrow(_count(lambda part: _tokens(part)[1]), schema).groupBy("token").agg(F.sum("n").alias("n")))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    keys, n = _most_frequent(counts, head, 1)
-    hashes = keys.view(np.uint64)
-    order = np.argsort(hashes)
-    none = np.zeros(0)
-    model = Model(uuid.uuid4().hex, total.n, total.v, hashes[order], order, n, none, none, none)
-    states = min(histories, len(keys))
-    bigrams = rows.mapInArrow(_count(_pairs(spark.sparkContext.broadcast((model, states)))), schema).groupBy("token").agg(F.sum("n").alias("n"))
-    pairs, times = _most_frequent(cut(bigrams), arcs, 2)
-    order = np.argsort(pairs)
-    pairs, times = pairs[order], times[order]
-    history, token = pairs >> 32, pairs & 0xFFFFFFFF
-    p = (times - DISCOUNT) / n[history] if len(pairs) else none
-    left = 1 - np.bincount(history, weights=p, minlength=states) if len(pairs) else np.ones(states)
-    lower = 1 - np.bincount(history, weights=10 ** model.root(n[token]), minlength=states) if len(pairs) else np.ones(states)
-    model.arcs, model.weights, model.failure = pairs, np.log10(p), np.log10(left / lower)
-    model.key = uuid.uuid4().hex
-    return model, counts
-
-
-def _score(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        end = model.rank(np.array([END]))[0]
-        by_rank = np.append(model.counts, 0)
-        root = np.append(model.root(model.counts), 0.0)  # the last is that of tokens outside the head, added by the join
-        failure = np.append(model.failure, np.zeros(len(model.counts) + 1 - len(model.failure)))
-        for batch in batches:
-            for rows in _text.slices(batch):
-                n = rows.num_rows
-                doc, h = _tokens(rows)
-                rank = model.rank(h)
-                history = np.concatenate([[end], rank[:-1]])
-                history[np.flatnonzero(np.diff(doc, prepend=-1))] = end
-                base = root[rank]
-                step = failure[history] + base
-                if len(model.arcs):
-                    key = np.where((history >= 0) & (rank >= 0), (history << 32) | rank, -1)
-                    at = np.minimum(np.searchsorted(model.arcs, key), len(model.arcs) - 1)
-                    step = np.where(model.arcs[at] == key, model.weights[at], step)
-                rare = np.flatnonzero(rank < 0)
-                order = np.lexsort((h[rare], doc[rare]))
-                d, t = doc[rare][order], h[rare][order]
-                first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (t[1:] != t[:-1])])) if len(d) else np.zeros(0, np.int64)
-                offsets = np.searchsorted(d[first], np.arange(n + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows["doc_id"],
-                        rows["held_out"],
-                        pa.array(np.bincount(doc, minlength=n)),
-                        pa.array(np.bincount(doc, weights=by_rank[rank] > 0, minlength=n).astype(np.int64)),
-                        pa.array(np.bincount(doc, weights=base, minlength=n)),
-                        pa.array(np.bincount(doc, weights=step, minlength=n)),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(t[first].view(np.int64))),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.diff(np.append(first, len(d))).astype(np.int32))),
-                    ],
-                    ["doc_id", "held_out", "n_tokens", "head_known", "head_base", "head_score", "rare", "times"],
-                )
+def _unpacked(raw: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
-    return run
 
+def _tokens(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all tokens, a document's end included, in order, and how many each document has."""
+    data, offsets = _text.buffer(rows["text"])
+    data = _text.LOWER[data]
+    doc, starts, ends = _text.words(data, offsets)
+    counts = _text.per_document(doc, rows.num_rows) + 1
+    out = np.full(len(doc) + rows.num_rows, END)
+    keep = np.ones(len(out), bool)
+    keep[np.cumsum(counts) - 1] = False
+    out[keep] = _text.hashes(data, starts, ends)
+    return out, counts
 
-def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col), 7, 2).alias("held_out"), F.col(text_col).alias("text"))
-    schema = "doc_id long, held_out boolean, n_tokens long, head_known long, head_base double, head_score double, rare array<long>, times array<int>"
-    read = cut(rows.mapInArrow(_score(spark.sparkContext.broadcast(model)), schema).withColumn("row", F.monotonically_increasing_id()))
-    asked = read.select("row", F.inline(F.arrays_zip(F.col("rare").alias("token"), F.col("times").alias("k"))))
-    answered = asked.join(counts, "token", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    log = F.log10((F.col("n") + 1) / F.lit(float(model.train_tokens + model.vocabulary + 1)))
-    tail = answered.groupBy("row").agg(F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("known"), F.sum(F.col("k") * log).alias("log"))
-    more = F.coalesce("log", F.lit(0.0))
-    return read.drop("rare", "times").join(tail, "row", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("head_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(model.train_tokens).cast("long").alias("train_tokens"),
-        (F.col("head_base") + more).alias("base_score"),
-        (F.col("head_score") + more).alias("score"),
-    )
-
-
-def _shown(doc: np.ndarray, h: np.ndarray, rank: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each token its history's hash and rank, and the number of the pair.
-
-    A pair of two tokens of the head is their ranks, history << 32 | token; any other is a hash with the highest bit set.
-    """
-    first = np.flatnonzero(np.diff(doc, prepend=-1))
-    before, history = np.concatenate([[END], h[:-1]]), np.concatenate([[end], rank[:-1]])
-    before[first], history[first] = END, end
-    hashed = (_text.mix(_text.mix(before) + h) | np.uint64(1 << 63)).view(np.int64)
-    return before, history, np.where((history >= 0) & (rank >= 0), (history << 32) | rank, hashed)
 
+def _grams(tokens: np.ndarray, lengths: np.ndarray, most: int) -> list[np.ndarray]:
+    """For each order the hash of the n-gram that ends at each place; before a document's first token all is the end."""
+    place = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    out, before = [tokens], tokens
+    for order in range(2, most + 1):
+        before = np.where(place >= order - 1, np.concatenate([np.full(order - 1, END), tokens])[: len(tokens)], END)
+        out.append(_text.mix(out[-1] * _FACTOR + before + np.uint64(order)))
+    return out
 
-def _count_pairs(shared):
-    """Pairs of tokens with their counts; those that are not two tokens of the head with both tokens' hashes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        end = model.rank(np.array([END]))[0]
-        counter = _Counter()
-        for batch in batches:
-            for rows in _text.slices(batch):
-                doc, h = _tokens(rows)
-                before, _, key = _shown(doc, h, model.rank(h), end)
-                if (key >= 0).any():
-                    counter.add(key[key >= 0])
-                for part in counter.batches(False):
-                    yield _with_hashes(part["token"], part["n"])
-                tail = np.flatnonzero(key < 0)
-                if len(tail):
-                    keys, first, n = np.unique(key[tail], return_index=True, return_counts=True)
-                    yield _with_hashes(pa.array(keys), pa.array(n.astype(np.int64)), before[tail][first], h[tail][first])
-        for part in counter.batches(True):
-            yield _with_hashes(part["token"], part["n"])
+def _sorted(keys: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys in order, their occurrences in training rows, and each one's place among them."""
+    found, place = np.unique(keys, return_inverse=True)
+    return found, np.bincount(place, weights=learn, minlength=len(found)).astype(np.uint32), place
 
-    return run
 
+def _ranges(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket's sorted keys begin, and the end."""
+    edges = np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64)
+    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
-def _with_hashes(keys: pa.Array, n: pa.Array, history: np.ndarray | None = None, token: np.ndarray | None = None) -> pa.RecordBatch:
-    both = [pa.nulls(len(keys), pa.int64()) if x is None else pa.array(x.view(np.int64)) for x in (history, token)]
-    return pa.RecordBatch.from_arrays([keys, n, *both], ["pair", "n", "history", "token"])
 
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    block = TaskContext.get().partitionId() << 32
+    for given in batches:
+        for rows in _text.slices(given, limit=BLOCK_BYTES):
+            tokens, lengths = _tokens(rows)
+            keys, ids = np.unique(tokens, return_inverse=True)
+            row = {"block": block, "keys": _packed(keys), "ids": _packed(ids.astype(np.int32)), "lengths": _packed(lengths), "doc_ids": rows["doc_id"].to_pylist(), "held": rows["held_out"].to_pylist()}
+            yield pa.RecordBatch.from_pylist([row], _BLOCK_SCHEMA)
+            block += 1
 
-def _column(rows: pa.RecordBatch, name: str) -> np.ndarray:
-    return rows[name].to_numpy(zero_copy_only=False)
 
+def _opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block: its different tokens, all tokens, how many each document has, and which tokens are to be learnt."""
+    keys, lengths = _unpacked(row["keys"], np.uint64), _unpacked(row["lengths"], np.int64)
+    return keys, keys[_unpacked(row["ids"], np.int32)], lengths, np.repeat(~np.array(row["held"], bool), lengths)
 
-def _successors(shared):
-    """By history: its different successors, their occurrences, and the sum of count + 1 over those of the head."""
 
+def _send(buckets: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        hashes = np.zeros(len(model.hashes), np.uint64)
-        hashes[model.ranks] = model.hashes
-        sums = np.zeros((3, len(hashes)), np.int64)
-        names = ["token", "kinds", "times", "mass"]
-        for rows in batches:
-            pair, n = _column(rows, "pair"), _column(rows, "n")
-            head = pair >= 0
-            if head.any():
-                history = pair[head] >> 32
-                for k, x in enumerate((1, n[head], model.counts[pair[head] & 0xFFFFFFFF] + 1)):
-                    np.add.at(sums[k], history, x)
-            if not head.all():
-                rest = rows.filter(pa.array(~head))
-                rank = model.rank(_column(rest, "token").view(np.uint64))
-                mass = np.where(rank >= 0, np.append(model.counts, 0)[rank] + 1, 0)
-                yield pa.RecordBatch.from_arrays([rest["history"], pa.array(np.ones(len(rank), np.int64)), rest["n"], pa.array(mass)], names)
-        at = np.flatnonzero(sums[0])
-        for a in range(0, len(at), 100_000):
-            part = at[a : a + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(hashes[part].view(np.int64)), *(pa.array(x[part]) for x in sums)], names)
+        for row in _rows(batches):
+            _, tokens, lengths, learn = _opened(row)
+            for order, keys in enumerate(_grams(tokens, lengths, most), 1):
+                found, counts, _ = _sorted(keys, learn)
+                at = _ranges(found, buckets).tolist()
+                sent = [{"block": row["block"], "kind": order, "bucket": k, "keys": _packed(found[a:b]), "counts": _packed(counts[a:b])} for k, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)) if b > a]
+                yield pa.RecordBatch.from_pylist(sent, _SENT_SCHEMA)
 
     return run
 
 
-def _outside(shared):
-    """Of pairs with hashes, the tokens outside the head: one row for the history and one for the token."""
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield {name: batch.column(n)[k].as_py() for n, name in enumerate(batch.schema.names)}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        for rows in batches:
-            for name, is_history in (("history", True), ("token", False)):
-                part = rows.filter(pa.array(model.rank(_column(rows, name).view(np.uint64)) < 0))
-                yield pa.RecordBatch.from_arrays([part["pair"], part["history"], part[name], pa.array([is_history] * part.num_rows, pa.bool_())], ["pair", "history", "token", "is_history"])
 
-    return run
+def _groups(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[list[dict]]:
+    """The rows with the same values of `names`, which follow each other."""
+    held: list[dict] = []
+    for row in _rows(batches):
+        if held and any(held[0][x] != row[x] for x in names):
+            yield held
+            held = []
+        held.append(row)
+    if held:
+        yield held
 
 
-def _inside(shared):
-    """What an arc with hashes adds to its fallback, as far as the head tells."""
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of one range and order: for each block the totals that its own counts do not give, by their places in its range.
 
+    A last row holds the sums of the range: how many different n-grams, and how many occurrences.
+    """
+    for rows in _groups(batches, "bucket", "kind"):
+        where = {"kind": rows[0]["kind"], "bucket": rows[0]["bucket"]}
+        counts = [_unpacked(r["counts"], np.uint32) for r in rows]
+        _, place = np.unique(np.concatenate([_unpacked(r.pop("keys"), np.uint64) for r in rows]), return_inverse=True)
+        total = np.bincount(place, weights=np.concatenate(counts)).astype(np.int64)
+        at = 0
+        for row, own in zip(rows, counts, strict=True):
+            mine = total[place[at : at + len(own)]]
+            at += len(own)
+            differ = np.flatnonzero(mine != own)
+            if len(differ):
+                yield pa.RecordBatch.from_pylist([{"block": row["block"], **where, "places": _packed(differ.astype(np.int32)), "totals": _packed(mine[differ])}], _BACK_SCHEMA)
+        sums = np.array([(total > 0).sum(), total.sum()], np.int64).tobytes()
+        yield pa.RecordBatch.from_pylist([{"block": -1, **where, "places": b"", "totals": sums}], _BACK_SCHEMA)
+
+
+class Automaton:
+    """The states and arcs that one block of texts needs: for each order its sorted n-grams and their counts."""
+
+    def __init__(self, counts: list[np.ndarray], train_tokens: int, vocabulary: int) -> None:
+        self.counts, self.train_tokens, self.vocabulary = counts, train_tokens, vocabulary
+
+    def root(self, token: np.ndarray) -> np.ndarray:
+        return (self.counts[0][token] + 1) / (self.train_tokens + self.vocabulary + 1)
+
+    def walk(self, grams: list[np.ndarray], history: list[np.ndarray]) -> np.ndarray:
+        """log10 of each token's probability. grams: by order, the numbers of the n-grams that end at each place;
+        history: by length, how often the history of that many tokens goes on in the training rows."""
+        weight = [self.root(grams[0])]  # the arc's weight from the state of each history length, or a failure's and what follows
+        for k in range(1, len(grams)):
+            weight.append((self.counts[k][grams[k]] + PRIOR[k] * weight[-1]) / (history[k] + PRIOR[k]))
+        out, state, waiting = np.zeros(len(grams[0])), len(grams) - 1, np.arange(len(grams[0]))
+        while state and len(waiting):
+            seen = self.counts[state][grams[state][waiting]] > 0
+            arc, rest = waiting[seen], waiting[~seen]
+            out[arc] += np.log10(weight[state][arc])
+            out[rest] += np.log10(PRIOR[state] / (history[state][rest] + PRIOR[state]))  # a history never seen is no state: nothing is lost
+            waiting, state = rest, state - 1
+        out[waiting] += np.log10(weight[0][waiting])
+        return out
+
+
+def _score(buckets: int, most: int, train_tokens: int, vocabulary: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        from_history, from_token = _gains(model)
-        for rows in batches:
-            history, token = (model.rank(_column(rows, x).view(np.uint64)) for x in ("history", "token"))
-            a = np.log10(_column(rows, "n") - DISCOUNT) + from_history[history] + from_token[token]
-            yield pa.RecordBatch.from_arrays([rows["pair"], pa.array(a)], ["key", "a"])
+        for rows in _groups(batches, "block"):
+            head = rows[0]  # the block itself sorts first
+            vocab, tokens, lengths, learn = _opened(head)
+            held = np.array(head["held"], bool)
+            keys, counts, grams = [], [], []
+            for k in _grams(tokens, lengths, most):
+                found, own, place = _sorted(k, learn)
+                keys.append(_ranges(found, buckets)), counts.append(own.astype(np.int64)), grams.append(place)
+            for row in rows[1:]:
+                at = keys[row["kind"] - 1][row["bucket"]]
+                counts[row["kind"] - 1][at + _unpacked(row["places"], np.int32)] = _unpacked(row["totals"], np.int64)
+            first = np.cumsum(lengths) - lengths
+            # a history's count is that of the n-gram that ends at the place before; the end's is that of all texts
+            n_end = int(counts[0][np.searchsorted(vocab, END)])
+            begins = np.zeros(len(tokens), bool)
+            begins[first] = True
+            history = [np.zeros(0), np.concatenate([[0], counts[0][grams[0]][:-1]])]
+            history[1][begins] = n_end
+            for k in range(2, most):
+                # of a text's first tokens the history is ends alone, which every text has, or ends and its first tokens
+                longer = np.concatenate([[0], counts[k - 1][grams[k - 1]][:-1]])
+                longer[begins] = n_end
+                history.append(longer)
+            model = Automaton(counts, train_tokens, vocabulary)
+            step, base = model.walk(grams, history), np.log10(model.root(grams[0]))
+            doc, n = np.repeat(np.arange(len(lengths)), lengths), len(lengths)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(head["doc_ids"], pa.int64()),
+                    pa.array(held),
+                    pa.array(lengths),
+                    pa.array(np.bincount(doc, weights=counts[0][grams[0]] > 0, minlength=n).astype(np.int64)),
+                    pa.array(np.full(n, train_tokens, np.int64)),
+                    pa.array(np.bincount(doc, weights=base, minlength=n)),
+                    pa.array(np.bincount(doc, weights=step, minlength=n)),
+                ],
+                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
 
     return run
 
 
-def _gains(model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """By rank, what history and token add to log10(n - DISCOUNT) in an arc's weight less its fallback's; 0 outside the head."""
-    return np.append(-np.log10(model.counts) - model.failure, 0.0), np.append(-model.root(model.counts), 0.0)
+def train_and_score(docs: DataFrame, order: int = ORDER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row, by the n-grams of the rows not held out.
 
-
-@dataclass
-class Whole:
-    """The automaton of all bigrams: the model holds the head, the arcs most often taken and the head's failure weights."""
-
-    model: Model
-    #: pair, n, history, token of every bigram
-    pairs: DataFrame
-    #: token, n, failure of every token outside the head
-    tail: DataFrame
-
-
-def fit_whole(docs: DataFrame, head: int = HEAD, arcs: int = ARCS, text_col: str = "text") -> Whole:
-    """The automaton of all bigrams of all rows of `docs`; `head` and `arcs` bound what is broadcast, and change no result."""
+    `order`: the most tokens of an n-gram, up to len(PRIOR).
+    """
     spark = docs.sparkSession
-    rows = docs.select(F.col(text_col).alias("text"))
-    counts = cut(rows.mapInArrow(_count(lambda part: _tokens(part)[1]), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    keys, n = _most_frequent(counts, head, 1)
-    least = int(n[-1]) if len(n) else None
-    order = np.argsort(keys.view(np.uint64))
-    none = np.zeros(0)
-    model = Model(uuid.uuid4().hex, total.n, total.v, keys.view(np.uint64)[order], order, n, none, none, none)
-    shared = spark.sparkContext.broadcast(model)
-    found = rows.mapInArrow(_count_pairs(shared), "pair long, n long, history long, token long")
-    folder = new_folder(spark, "bigrams")
-    found.groupBy("pair").agg(F.sum("n").alias("n"), F.max("history").alias("history"), F.max("token").alias("token")).write.option("compression", "zstd").parquet(folder)
-    pairs = spark.read.schema("pair long, n long, history long, token long").parquet(folder)
-    rare = counts.where(F.lit(True) if least is None else F.col("n") < least)
-    outside = pairs.where("pair < 0").mapInArrow(_outside(shared), "pair long, history long, token long, is_history boolean")
-    more = outside.where("NOT is_history").join(rare, "token").select(F.col("history").alias("token"), F.lit(0).alias("kinds"), F.lit(0).alias("times"), (F.col("n") + 1).alias("mass"))
-    sums = pairs.mapInArrow(_successors(shared), "token long, kinds long, times long, mass long").unionByName(more).groupBy("token").agg(*(F.sum(x).alias(x) for x in ("kinds", "times", "mass")))
-    whole = float(total.n + total.v + 1)
-    left = (F.col("n") - F.col("times") + DISCOUNT * F.col("kinds")) / F.col("n")
-    failure = F.coalesce(F.log10(left / ((whole - F.col("mass")) / whole)), F.lit(0.0))
-    states = cut(counts.join(sums, "token", "left").select("token", "n", failure.alias("failure")))
-    model.failure = np.zeros(len(keys))
-    if least is not None:
-        known = states.where(F.col("n") >= least).select("token", "failure").toArrow()
-        model.failure[model.rank(known["token"].to_numpy().view(np.uint64))] = known["failure"].to_numpy()
-    often, times = _most_frequent(pairs.where("pair >= 0").select(F.col("pair").alias("token"), "n"), arcs, 2)
-    order = np.argsort(often)
-    model.arcs, times = often[order], times[order]
-    model.weights = np.log10((times - DISCOUNT) / n[model.arcs >> 32]) if len(often) else none
-    model.key = uuid.uuid4().hex
-    return Whole(model, pairs, states.where(F.lit(True) if least is None else F.col("n") < least))
-
-
-#: What a row asks, or says of itself: arcs of the head, other arcs, tokens outside the head; its results so far.
-_HEAD_ARC, _OTHER_ARC, _TOKEN, _HELD_OUT, _LEARNT, _KNOWN = range(6)
-
-
-def _ask(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        end = model.rank(np.array([END]))[0]
-        root, failure = np.append(model.root(model.counts), 0.0), np.append(model.failure, 0.0)  # the last is added by the join
-        for batch in batches:
-            for rows in _text.slices(batch):
-                n = rows.num_rows
-                row, out = _column(rows, "row"), _column(rows, "held_out").astype(bool)
-                doc, h = _tokens(rows)
-                rank = model.rank(h)
-                _, history, key = _shown(doc, h, rank, end)
-                base = root[rank]
-                step = failure[history] + base
-                ask = np.ones(len(h), bool)
-                if len(model.arcs):
-                    at = np.minimum(np.searchsorted(model.arcs, key), len(model.arcs) - 1)
-                    ask = model.arcs[at] != key
-                    step = np.where(ask, step, model.weights[at])
-                rare = rank < 0
-                d = np.concatenate([doc[ask], doc[rare]])
-                keys = np.concatenate([key[ask], h[rare].view(np.int64)])
-                kind = np.concatenate([np.where(key[ask] >= 0, _HEAD_ARC, _OTHER_ARC), np.full(int(rare.sum()), _TOKEN)])
-                order = np.lexsort((kind, keys, d))
-                d, keys, kind = d[order], keys[order], kind[order]
-                first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (keys[1:] != keys[:-1]) | (kind[1:] != kind[:-1])])) if len(d) else np.zeros(0, np.int64)
-                times = np.diff(np.append(first, len(d)))
-                d, keys, kind = d[first], keys[first], kind[first]
-                for a in range(0, len(d), 200_000):
-                    b = min(a + 200_000, len(d))
-                    yield _asked(row[d[a:b]], kind[a:b], keys[a:b], times[a:b])
-                known = np.bincount(doc, weights=rank >= 0, minlength=n)
-                yield _asked(row, np.full(n, _KNOWN), row, known)
-                yield _asked(row, np.where(out, _HELD_OUT, _LEARNT), row, np.bincount(doc, minlength=n), rows["doc_id"], np.bincount(doc, weights=base, minlength=n), np.bincount(doc, weights=step, minlength=n))
-
-    return run
-
-
-def _asked(row, kind, key, k, doc_id=None, base=None, score=None) -> pa.RecordBatch:
-    sums = [pa.nulls(len(row), pa.float64()) if x is None else pa.array(x) for x in (base, score)]
-    ids = pa.nulls(len(row), pa.int64()) if doc_id is None else doc_id
-    return pa.RecordBatch.from_arrays([pa.array(row), pa.array(kind.astype(np.int8)), pa.array(key), pa.array(k.astype(np.int64)), ids, *sums], ["row", "kind", "key", "k", "doc_id", "base", "score"])
-
-
-def _answer(shared):
-    """Arcs of the head that were found: what each adds to its row's score."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from_history, from_token = _gains(shared.value)
-        for rows in batches:
-            key, kind, a = (_column(rows, x) for x in ("key", "kind", "a"))
-            arc = kind == _HEAD_ARC
-            key = np.where(arc, key, 0)
-            a = a.copy()
-            a[arc] = np.log10(a[arc] - DISCOUNT) + from_history[key[arc] >> 32] + from_token[key[arc] & 0xFFFFFFFF]
-            yield rows.set_column(rows.schema.get_field_index("a"), "a", pa.array(a, from_pandas=True))
-
-    return run
-
-
-def score_whole(docs: DataFrame, whole: Whole, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """As score(), by all bigrams: arcs and tokens that were not broadcast are found by one join."""
-    spark, model = docs.sparkSession, whole.model
-    shared = spark.sparkContext.broadcast(model)
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col), 7, 2).alias("held_out"), F.col(text_col).alias("text"))
-    schema = "row long, kind byte, key long, k long, doc_id long, base double, score double"
-    asked = rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_ask(shared), schema)
-
-    def told(df: DataFrame, kind: int, key: str, a, b=None) -> DataFrame:
-        return df.select(F.lit(kind).cast("byte").alias("kind"), F.col(key).alias("key"), a.cast("double").alias("a"), (F.lit(None) if b is None else b).cast("double").alias("b"))
-
-    total = float(model.train_tokens + model.vocabulary + 1)
-    root = F.log10((F.col("n") + 1) / F.lit(total))
-    others = whole.pairs.where("pair < 0")
-    outside = others.mapInArrow(_outside(shared), "pair long, history long, token long, is_history boolean").join(whole.tail, "token")
-    # an arc with a token outside the head has up to three rows, whose sum is what it adds
-    table = (
-        told(whole.pairs.where("pair >= 0"), _HEAD_ARC, "pair", F.col("n"))
-        .unionByName(told(others.mapInArrow(_inside(shared), "key long, a double"), _OTHER_ARC, "key", F.col("a")))
-        .unionByName(told(outside, _OTHER_ARC, "pair", F.when(F.col("is_history"), -F.log10("n") - F.col("failure")).otherwise(-root)))
-        .unionByName(told(whole.tail, _TOKEN, "token", root, F.col("failure")))
-    )
-    kind, k = F.col("kind"), F.col("k")
-    found = asked.join(table, ["kind", "key"], "left").where((kind >= _TOKEN) | F.col("a").isNotNull())
-    found = found.select("row", "kind", "key", "k", "doc_id", "base", "score", "a", "b").mapInArrow(_answer(shared), schema + ", a double, b double")
-    unseen = F.lit(float(np.log10(1 / total)))
-    base = F.when(kind == _TOKEN, k * F.coalesce("a", unseen)).when(kind.isin(_HELD_OUT, _LEARNT), F.col("base")).otherwise(0.0)
-    more = F.when(kind == _TOKEN, k * (F.coalesce("a", unseen) + F.coalesce("b", F.lit(0.0)))).when(kind < _TOKEN, k * F.col("a")).when(kind.isin(_HELD_OUT, _LEARNT), F.col("score")).otherwise(0.0)
-    known = F.when((kind == _KNOWN) | ((kind == _TOKEN) & F.col("a").isNotNull()), k).otherwise(0)
-    return (
-        found.groupBy("row")
-        .agg(
-            F.max("doc_id").alias("doc_id"),
-            F.max(kind == _HELD_OUT).alias("held_out"),
-            F.sum(F.when(kind.isin(_HELD_OUT, _LEARNT), k).otherwise(0)).alias("n_tokens"),
-            F.sum(known).alias("n_known"),
-            F.lit(model.train_tokens).cast("long").alias("train_tokens"),
-            F.sum(base).alias("base_score"),
-            F.sum(more).alias("score"),
-        )
-        .drop("row")
-    )
-
-
-def train_and_score(docs: DataFrame, **sizes: int) -> DataFrame:
-    """By all bigrams; a caller that gives sizes gets the automaton bounded by them."""
-    learn = docs.where(~held_out(F.col("doc_id"), 7, 2))
-    if not sizes:
-        return score_whole(docs, fit_whole(learn))
-    model, counts = fit(learn, **sizes)
-    return score(docs, model, counts)
+    with Scratch(spark, "grams") as scratch:
+        blocks = scratch.table(rows.mapInArrow(_read, _BLOCK))
+        sent = blocks.mapInArrow(_send(buckets, order), _SENT)
+        back = scratch.table(sent.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_add_up, _BACK))
+        sums = back.where("block < 0 AND kind = 1").select("totals").toArrow()["totals"].to_pylist()  # one row a bucket
+        vocabulary, train_tokens = (int(x) for x in np.frombuffer(b"".join(sums), np.int64).reshape(-1, 2).sum(axis=0))
+        parts = blocks.withColumn("kind", F.lit(0)).unionByName(back.where("block >= 0"), allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "kind", "bucket")
+        schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+        return cut(parts.mapInArrow(_score(buckets, order, train_tokens, vocabulary), schema))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
