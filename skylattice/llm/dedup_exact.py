@@ -12,7 +12,7 @@ places are joined back only for contents with v > 0.
 
 Defined results: a null text counts as empty; empty texts are one group; rows that share a doc_id and a normalised text
 are members of the group, each marked as the row that stays if that is theirs; a null doc_id sorts after all others; other
-columns are not read; an empty table gives no rows.
+columns are not read; a text of any length is read whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,9 +22,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skylattice.llm._shared import cut, documents
+from skylattice.llm._shared import Scratch, cut, documents
 
 BLOCK_BYTES = 2048
+#: Parts into which the members of a group are dealt where they meet its result; a group of any size spreads over as many tasks.
+SALTS = 64
 #: The characters of [\x20\x09-\x0D].
 SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 
@@ -43,12 +45,12 @@ def _blocks(norm: Column, block_bytes: int) -> Column:
     return F.transform(F.sequence(F.lit(0), last), lambda k: F.substring(raw, k * block_bytes + 1, F.lit(block_bytes)))
 
 
-def _variants(contents: DataFrame) -> DataFrame:
+def _variants(scratch: Scratch, contents: DataFrame) -> DataFrame:
     """(h, content, v) of the contents with v > 0; contents: (h, content), repeated ones included."""
     different = contents.distinct()
     shared = different.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     ranked = different.join(shared, "h", "left_semi").select("*", (F.row_number().over(Window.partitionBy("h").orderBy("content")) - 1).alias("v"))
-    return cut(ranked.where("v > 0"))
+    return scratch.table(ranked.where("v > 0"))
 
 
 def _renamed(state: DataFrame, places: DataFrame, variants: DataFrame) -> DataFrame:
@@ -67,19 +69,19 @@ def _names(hashes: Column) -> Column:
     return F.transform(hashes, lambda h: F.struct(h.alias("h"), F.lit(0).alias("v")))
 
 
-def named(rows: DataFrame, block_bytes: int = BLOCK_BYTES, fingerprint=hash64) -> DataFrame:
+def named(scratch: Scratch, rows: DataFrame, block_bytes: int = BLOCK_BYTES, fingerprint=hash64) -> DataFrame:
     """`rows` (doc_id, sha, norm and more) without norm, with level, h, v: equal norms, and only those, get equal ones.
 
-    Rows with equal doc_id and sha have the same norm.
+    Rows with equal doc_id and sha have the same norm. The result reads tables of `scratch`.
     """
     blocks = rows.select("doc_id", "sha", F.posexplode(_blocks(F.col("norm"), block_bytes)).alias("at", "content")).withColumn("h", fingerprint(F.col("content")))
     state = rows.withColumn("names", _names(F.transform(_blocks(F.col("norm"), block_bytes), fingerprint))).drop("norm")
-    state = cut(state)
-    variants = _variants(blocks.select("h", "content"))
+    state = scratch.table(state)
+    variants = _variants(scratch, blocks.select("h", "content"))
     done, level = [], 0
     while True:
         if not variants.isEmpty():
-            state = cut(_renamed(state, blocks, variants))
+            state = scratch.table(_renamed(state, blocks, variants))
         done.append(state.where(F.size("names") == 1).select(*[c for c in state.columns if c != "names"], F.lit(level).alias("level"), F.inline("names")))
         state = state.where(F.size("names") > 1)
         if state.isEmpty():
@@ -90,9 +92,10 @@ def named(rows: DataFrame, block_bytes: int = BLOCK_BYTES, fingerprint=hash64) -
             lambda k: F.struct(F.get("names", 2 * k).alias("left"), F.get("names", 2 * k + 1).alias("right")),
         )
         paired = state.withColumn("pairs", pair)
-        state = cut(paired.withColumn("names", _names(F.transform("pairs", fingerprint))))
+        state = scratch.table(paired.withColumn("names", _names(F.transform("pairs", fingerprint))))
         blocks = state.select("doc_id", "sha", F.posexplode(F.arrays_zip("pairs", "names")).alias("at", "both")).select("doc_id", "sha", "at", F.col("both.names.h").alias("h"), F.col("both.pairs").alias("content"))
-        variants = _variants(blocks.select("h", "content"))
+        scratch.drop(variants)
+        variants = _variants(scratch, blocks.select("h", "content"))
         state = state.drop("pairs")
 
 
@@ -101,10 +104,14 @@ def deduplicate(docs: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str = "
     text = F.col(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.char_length(text), F.lit(0)).alias("chars"), normalised(text).alias("norm"))
     rows = rows.withColumn("sha", F.sha2(F.col("norm").cast("binary"), 256))
-    members = named(rows, block_bytes, fingerprint)
-    first = F.max(F.struct(F.col("chars"), F.when(F.col("doc_id").isNotNull(), -F.col("doc_id")).alias("back")))
-    groups = members.groupBy("level", "h", "v").agg((-first["back"]).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return members.join(groups, ["level", "h", "v"]).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
+    with Scratch(docs.sparkSession, "exact") as scratch:
+        members = named(scratch, rows, block_bytes, fingerprint).withColumn("salt", F.pmod(F.xxhash64("doc_id", "chars"), F.lit(SALTS)).cast("int"))
+        first = F.max(F.struct(F.col("chars"), F.when(F.col("doc_id").isNotNull(), -F.col("doc_id")).alias("back")))
+        parts = members.groupBy("level", "h", "v", "salt").agg(first.alias("first"), F.count(F.lit(1)).alias("n"))
+        groups = parts.groupBy("level", "h", "v").agg((-F.max("first")["back"]).alias("keep_id"), F.sum("n").alias("group_size"))
+        told = parts.select("level", "h", "v", "salt").join(groups, ["level", "h", "v"])
+        joined = members.join(told, ["level", "h", "v", "salt"])
+        return cut(joined.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,14 +1,14 @@
 """Secrets by corpus-wide ownership frequency, in DataFrame operations alone.
 
 Every text is scanned once; what is found, without the text, is kept as places and value hashes. The hashes of all
-candidates are counted by distinct owners and repositories over the corpus: a value that few owners have looks live, one
-that many share is a copied example. Base spans stay in any case; further candidates are added when they look live.
-Counting goes through partial aggregates by (hash, owner), so a value that a third of the corpus holds meets no single
-task, and verdicts return by a join on the hash that adaptive execution can split.
+candidates are counted by distinct owners and repositories over the corpus: a value that few owners and few repositories have
+looks live, one that many owners share, or that one owner has spread over many repositories, is a copied example. Base spans
+stay in any case; further candidates are added when they look live. Counting goes through partial aggregates by (hash, owner,
+repository), and verdicts return by a join on the hash and a salt, so a value that a third of the corpus holds meets no single task.
 
 Defined results: a null text counts as empty; a null owner or repository counts as one of its own; rows are independent
-but for the counts, repeated rows repeat their results and rows with a null doc_id are kept; other columns are not read;
-an empty table gives no rows.
+but for the counts, repeated rows repeat their results and rows with a null doc_id are kept; a text of any length is read
+whole and a value has no greatest length but where its format sets one; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,17 +27,21 @@ BASE = ("assign", "access", "hex")
 
 #: Further candidates, public formats of credentials.
 CANDIDATES = {
-    "forge_token": r"(?<![A-Za-z0-9_])gh[oprsu]_[A-Za-z0-9]{20,255}+",
-    "chat_token": r"(?<![A-Za-z0-9])xox[abeprs]-[A-Za-z0-9-]{10,250}+",
-    "service_key": r"(?<![A-Za-z0-9])(?:sk|pk|rk)[-_](?:live[-_]|test[-_])?[A-Za-z0-9]{20,250}+",
+    "forge_token": r"(?<![A-Za-z0-9_])gh[oprsu]_[A-Za-z0-9]{20,}+",
+    "chat_token": r"(?<![A-Za-z0-9])xox[abeprs]-[A-Za-z0-9-]{10,}+",
+    "service_key": r"(?<![A-Za-z0-9])(?:sk|pk|rk)[-_](?:live[-_]|test[-_])?[A-Za-z0-9]{20,}+",
     "map_key": r"(?<![A-Za-z0-9])AIza[0-9A-Za-z_-]{35}(?![0-9A-Za-z_-])",
-    "web_token": r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,2000}+\.[A-Za-z0-9_-]{8,4000}+\.[A-Za-z0-9_-]{8,1000}+",
-    "private_key": r"-----BEGIN\x20(?:[A-Z]{2,12}\x20){0,3}PRIVATE\x20KEY-----",
-    "url_password": r"(?<=://)[^\s:/@]{1,64}+:[^\s:/@]{3,128}+@",
+    "web_token": r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+",
+    "private_key": r"-----BEGIN\x20(?:(?!PRIVATE\x20KEY-----)[A-Z]++\x20)*+PRIVATE\x20KEY-----",
+    "url_password": r"(?<=://)[^\s:/@]++:[^\s:/@]{3,}+@",
 }
 #: What must occur in a text for a candidate kind to be looked for; a plain search is cheaper than the pattern.
 _HINTS = {"forge_token": "gh", "chat_token": "xox", "map_key": "AIza", "web_token": "eyJ", "private_key": "PRIVATE KEY", "url_password": "://"}
+#: A value is taken for live when no more distinct owners and no more distinct repositories have it.
 MAX_OWNERS = 2
+MAX_REPOS = 20
+#: Parts into which the places of a value are dealt where they meet its verdict.
+SALTS = 64
 
 
 def _found(text: Column) -> Column:
@@ -65,15 +69,17 @@ def ownership(scanned: DataFrame) -> DataFrame:
     return by_owner.groupBy("value").agg(F.count_distinct("owner").alias("owners"), F.count_distinct("repo").alias("repos"), F.sum("places").alias("places"))
 
 
-def classify(scanned: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """The rows of `scanned` with all their spans, each with its value's owners and whether it looks live."""
-    places = scanned.select("row", F.explode("found").alias("s")).select("row", "s", F.col("s.value").alias("value"))
-    judged = places.join(ownership(scanned), "value").groupBy("row").agg(F.collect_list(F.struct("s.n", "s.kind", "s.begin", "s.stop", "owners", "repos", (F.col("owners") <= max_owners).alias("live"))).alias("spans"))
+def classify(scanned: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
+    """The rows of `scanned` with all their spans, each with its value's owners and repositories and whether it looks live."""
+    places = scanned.select("row", F.explode("found").alias("s")).select("row", "s", F.col("s.value").alias("value"), F.pmod(F.xxhash64("row"), F.lit(SALTS)).alias("salt"))
+    told = places.select("value", "salt").distinct().join(ownership(scanned), "value")
+    live = ((F.col("owners") <= max_owners) & (F.col("repos") <= max_repos)).alias("live")
+    judged = places.join(told, ["value", "salt"]).groupBy("row").agg(F.collect_list(F.struct("s.n", "s.kind", "s.begin", "s.stop", "owners", "repos", live)).alias("spans"))
     return scanned.select("row", "doc_id").join(judged, "row", "left").withColumn("spans", F.coalesce("spans", F.array().cast(judged.schema["spans"].dataType)))
 
 
-def digests(docs: DataFrame, max_owners: int = MAX_OWNERS, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
-    rows = classify(scan(docs, id_col, text_col, owner_col, repo_col), max_owners)
+def digests(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
+    rows = classify(scan(docs, id_col, text_col, owner_col, repo_col), max_owners, max_repos)
     base = F.filter("spans", lambda s: s["n"] < len(BASE))
     taken = F.filter("spans", lambda s: (s["n"] < len(BASE)) | s["live"])
     counts = [F.size(F.filter("spans", _spans.is_kind(n))).cast("long").alias(f"n_{kind}") for n, kind in enumerate(BASE)]
