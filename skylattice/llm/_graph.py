@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylattice.llm._shared import cut
+from skylattice.llm._shared import Scratch
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -20,11 +20,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(u, v): each node but a component's smallest, with that smallest one. edges: (u, v) in either order."""
     edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     while True:
-        edges = cut(_small_star(_large_star(edges)))
+        before, edges = edges, scratch.table(_small_star(_large_star(edges)))
+        scratch.drop(before)
         # done when every node has one edge and no smallest node has a smaller neighbour
         once = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
         inner = edges.select(F.col("v").alias("u")).distinct().join(once.select("u"), "u", "left_semi")
