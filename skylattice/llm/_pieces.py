@@ -1,32 +1,92 @@
 """Whole-text encoding with the tokenizers library, a chunk of text at a time.
 
 Both kinds of vocabulary used here split text before merging and no pre-token goes on past a whitespace that follows a
-non-whitespace, or from a letter to a mark, so a text's ids are the ids of its chunks in order. Chunks repeat: each distinct chunk of a slice is
-looked up once in a bounded memo and only unseen ones reach the library. A special token written out in a text is one id, as the
-library has it by default; a text that holds one goes to the library whole.
+non-whitespace, or from a letter to a mark, so a text's ids are the ids of its chunks in order. Chunks repeat: each distinct
+chunk of a slice is encoded once, or found among those of earlier slices, whose bytes are compared. Many chunks go to the library as one string, with a special token between them, at which it
+splits before it does anything else. A special token written out in a text is one id, as the library has it by default; a text
+that holds one goes to the library whole and alone.
 """
 
 from __future__ import annotations
 
 import os
-from array import array
 
 import numpy as np
 
 from skylattice.llm import _text
 
-_encoders: dict = {}
+#: Bytes of text whose chunks are gathered at once, and chunks that make one string for the library.
+SLICE_BYTES = 8 << 20
+_JOINED = 256
+#: Chunks that a worker process remembers at most, and the longest of them.
+_REMEMBERED = 500_000
+_LONGEST = 64
+
+
+class _Known:
+    """Chunks by hash, with their bytes and ids, in a few arrays."""
+
+    def __init__(self) -> None:
+        self.hashes, self.data, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, np.int32)
+        self.at, self.n, self.ids_at, self.ids_n = (np.zeros(0, np.int64) for _ in range(4))
+
+    def find(self, h: np.ndarray, data: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The number of each chunk, -1 of those that are not there."""
+        if not len(self.hashes):
+            return np.full(len(h), -1)
+        k = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        some = np.flatnonzero(self.hashes[k] == h)
+        some = some[_text.equal(data, starts[some], n[some], self.data, self.at[k[some]], self.n[k[some]])]
+        out = np.full(len(h), -1)
+        out[some] = k[some]
+        return out
+
+    def add(self, h: np.ndarray, raw: list[bytes], ids: np.ndarray, ids_n: np.ndarray) -> None:
+        """More chunks, their ids one after the other. When there are too many, the earlier ones go."""
+        if len(self.hashes) + len(h) > _REMEMBERED:
+            self.__init__()
+        n = np.fromiter(map(len, raw), np.int64, len(raw))
+        at, ids_at = len(self.data) + np.cumsum(n) - n, len(self.ids) + np.cumsum(ids_n) - ids_n
+        self.data, self.ids = np.concatenate([self.data, np.frombuffer(b"".join(raw), np.uint8)]), np.concatenate([self.ids, ids])
+        order = np.argsort(hashes := np.concatenate([self.hashes, h]), kind="stable")
+        self.hashes = hashes[order]
+        self.at, self.n, self.ids_at, self.ids_n = (np.concatenate(x)[order] for x in ((self.at, at), (self.n, n), (self.ids_at, ids_at), (self.ids_n, ids_n)))
 
 
 class ChunkEncoder:
-    def __init__(self, path: str, spaces: bool, limit: int = 400_000) -> None:
+    def __init__(self, path: str, spaces: bool) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = {k: t.content.encode() for k, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.special = list(added.values())
+        self.mark = next(((k, t) for k, t in added.items() if self._ids(["a" + t.decode() + "b"])[0] == [*self._ids(["a"])[0], k, *self._ids(["b"])[0]]), None)
         self.find = _text.chunks if spaces else _text.words
-        self.memo = _text.Memo(limit)
+        self.known = _Known()
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _each(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all strings, and where each one's begin and how many they are."""
+        odd = [k for k, x in enumerate(keys) if self.mark is None or len(x) >= min(map(len, self.special)) and any(t in x for t in self.special)]
+        plain = sorted(set(range(len(keys))) - set(odd)) if odd else range(len(keys))
+        ids, lengths, at = [np.zeros(0, np.int32)], np.zeros(len(keys), np.int64), [*plain, *odd]
+        if self.mark is not None:
+            k, mark = self.mark
+            joined = [mark.join([keys[x] for x in plain[a : a + _JOINED]] + [b""]).decode() for a in range(0, len(plain), _JOINED)]
+            if joined:
+                flat = np.concatenate([np.array(x, np.int32) for x in self._ids(joined)])
+                ends = np.flatnonzero(flat == k)
+                lengths[plain] = np.diff(ends, prepend=-1) - 1
+                ids.append(flat[flat != k])
+        for k in odd:
+            ids.append(np.array(self._ids([keys[k].decode()])[0], np.int32))
+            lengths[k] = len(ids[-1])
+        starts = np.zeros(len(keys), np.int64)
+        starts[at] = np.cumsum(lengths[at]) - lengths[at]
+        return np.concatenate(ids), starts, lengths
 
     def _spans(self, data: np.ndarray, offsets: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Document, first byte and end of what is encoded by itself: chunks, or all of a text that holds a special token's string."""
@@ -52,27 +112,25 @@ class ChunkEncoder:
         if not len(doc):
             return np.zeros(0, np.int32), np.zeros(n, np.int64)
         first, inverse = _text.distinct(data, starts, ends)
-        keys = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        values = self.memo.many(keys)
-        missing = [k for k, v in enumerate(values) if v is None]
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
-            for k, e in zip(part, self.tokenizer.encode_batch_fast([keys[k].decode() for k in part], add_special_tokens=False), strict=True):
-                values[k] = array("i", e.ids).tobytes()
-                if len(keys[k]) <= 64:
-                    self.memo.put(keys[k], values[k])
-        lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        flat = np.frombuffer(b"".join(values), np.int32)
+        starts, ends = starts[first], ends[first]
+        h, known = _text.hashes(data, starts, ends), self.known
+        found = known.find(h, data, starts, ends - starts)
+        new = np.flatnonzero(found < 0)
+        keys = [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
+        ids, ids_at, ids_n = self._each(keys)
+        at, lengths = known.ids_at[found] if len(known.hashes) else np.zeros(len(h), np.int64), known.ids_n[found] if len(known.hashes) else np.zeros(len(h), np.int64)
+        at[new], lengths[new] = len(known.ids) + ids_at, ids_n
+        flat = np.concatenate([known.ids, ids])
+        short = np.flatnonzero((ends - starts)[new] <= _LONGEST)
+        if len(short) <= _REMEMBERED:
+            known.add(h[new[short]], [keys[k] for k in short.tolist()], ids[_text.ragged(ids_at[short], ids_n[short])], ids_n[short])
         each = lengths[inverse]
-        ids = flat[_text.ragged((np.cumsum(lengths) - lengths)[inverse], each)]
-        return ids, _text.per_document(doc, n, each)
+        return flat[_text.ragged(at[inverse], each)], _text.per_document(doc, n, each)
 
 
 def encoder(path: str, spaces: bool) -> ChunkEncoder:
     """One for each worker process; spaces: whether whitespace is part of the tokens."""
-    if (path, spaces) not in _encoders:
-        _encoders[path, spaces] = ChunkEncoder(path, spaces)
-    return _encoders[path, spaces]
+    return _text.held(("encoder", path, spaces), lambda: ChunkEncoder(path, spaces))
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

@@ -9,7 +9,7 @@ others, `distinct` compares the bytes as well.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -81,23 +81,28 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return h
 
 
-def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first of each group of spans with the same bytes, and each span's group. Hashes group them, bytes confirm it."""
-    if not len(starts):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    _, first, group = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
-    like, n, blocks = first[group], ends - starts, _blocks(data)
-    same = n == n[like]
-    more, at = np.flatnonzero(same & (like != np.arange(len(n)))), 0
+def equal(a: np.ndarray, at_a: np.ndarray, n: np.ndarray, b: np.ndarray, at_b: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Whether the n bytes of a from at_a on are the n_b bytes of b from at_b on, of each pair of places."""
+    blocks_a, blocks_b, same = _blocks(a), _blocks(b), n == n_b
+    more, at = np.flatnonzero(same & ((at_a != at_b) | (a is not b))), 0
     while len(more):
         short = n[more] <= _LONG
         for k in more[~short].tolist():
-            same[k] = np.array_equal(data[starts[k] : ends[k]], data[starts[like[k]] : ends[like[k]]])
+            same[k] = np.array_equal(a[at_a[k] : at_a[k] + n[k]], b[at_b[k] : at_b[k] + n[k]])
         more = more[short]
-        differ = (blocks[starts[more] + at] ^ blocks[starts[like[more]] + at]) & _KEPT[np.minimum(n[more] - at, 8)] != 0
+        differ = (blocks_a[at_a[more] + at] ^ blocks_b[at_b[more] + at]) & _KEPT[np.minimum(n[more] - at, 8)] != 0
         same[more[differ]] = False
         at += 8
         more = more[~differ & (n[more] > at)]
+    return same
+
+
+def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of each group of spans with the same bytes, and each span's group. Hashes group them, bytes confirm it."""
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    _, first, group = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
+    same = equal(data, starts, ends - starts, data, starts[first[group]], (ends - starts)[first[group]])
     if not same.all():
         seen: dict[bytes, int] = {}
         raw = data.tobytes()
@@ -162,6 +167,17 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
+_held: dict = {}
+
+
+def held(key: object, make: Callable[[], object]) -> object:
+    """What a worker process keeps from task to task: one thing, so that stages of other kinds leave nothing behind."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 class Memo:
     """A dictionary of bounded size: two generations of at most `limit` entries, the older one dropped whole."""
 

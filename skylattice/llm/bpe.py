@@ -144,14 +144,11 @@ class Bpe:
 
 #: Bytes of text handled at once: chunks repeat, so a larger slice has fewer to look up.
 _SLICE = 6 << 20
-_loaded: dict[str, tuple[Bpe, _text.Memo]] = {}
 
 
 def _worker(path: str) -> tuple[Bpe, _text.Memo]:
     """Of a worker process: the encoder, and chunks' ids as decimals joined by spaces."""
-    if path not in _loaded:
-        _loaded[path] = Bpe(load_ranks(path), public_tokenizers.PATTERN), _text.Memo(450_000)
-    return _loaded[path]
+    return _text.held(("bpe", path), lambda: (Bpe(load_ranks(path), public_tokenizers.PATTERN), _text.Memo(450_000)))
 
 
 def _chunks(rows: pa.RecordBatch, path: str) -> tuple[list[tuple[int, int]], np.ndarray, list[bytes]]:

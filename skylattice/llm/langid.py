@@ -20,6 +20,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -36,20 +37,20 @@ UNDETERMINED = "und"
 WHOLE = 64
 STRETCH = 16
 SCALED = 8
+_PLACE_BITS = 18
 SMOOTHING = 0.1
 #: A text whose best language is not more probable than all others together has none.
 LEAST_SCORE = 0.5
 _MARK = "▁"
 
-_cache: dict = {}
+#: Bytes of text whose words are gathered at once.
+_SLICE = 6 << 20
 
 
 def _processor(path: str):
-    if ("sp", path) not in _cache:
-        import sentencepiece
+    import sentencepiece
 
-        _cache["sp", path] = sentencepiece.SentencePieceProcessor(model_file=path)
-    return _cache["sp", path]
+    return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
 def _unique_words(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -64,24 +65,18 @@ def _unique_words(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[by
 
 def _count(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sp = _processor(path)
-        memo = _cache.setdefault(("pieces", path), _text.Memo(150_000))
+        sp = _text.held(("pieces", path), lambda: _processor(path))
         n_pieces = sp.get_piece_size()
         totals: dict[str, np.ndarray] = {}  # the last place counts documents
         for batch in batches:
-            for rows in _text.slices(batch):
+            for rows in _text.slices(batch, limit=_SLICE):
                 langs = rows["lang"].to_pylist()
                 names = sorted(set(langs))
                 of = np.array([names.index(x) for x in langs])
                 doc, number, words = _unique_words(rows)
-                pieces = memo.many(words)
-                missing = [k for k, v in enumerate(pieces) if v is None]
-                for k, ids in zip(missing, sp.encode([words[k].decode() for k in missing], num_threads=1), strict=True):
-                    pieces[k] = np.array(ids, np.int32)
-                    if len(words[k]) <= 48:
-                        memo.put(words[k], pieces[k])
+                pieces = sp.encode([w.decode() for w in words], num_threads=1)
                 lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
-                flat = np.concatenate([np.zeros(0, np.int32), *pieces])
+                flat = np.fromiter(chain.from_iterable(pieces), np.int32, int(lengths.sum()))
                 owner = np.repeat(np.arange(len(pieces)), lengths)
                 for k, name in enumerate(names):
                     times = np.bincount(number[of[doc] == k], minlength=len(words))
@@ -144,28 +139,36 @@ class _Forward:
             keys[has] = _extended(keys[has], flat[ends[has] - n])
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array([k for k, _ in names])[order]
+        # where the keys with the same highest bits begin; most hashes of other strings meet an empty place there
+        places = (self.keys >> np.uint64(64 - _PLACE_BITS)).astype(np.int64)
+        self.first = np.searchsorted(places, np.arange((1 << _PLACE_BITS) + 1)).astype(np.int32)
+        self.deepest = int(np.diff(self.first).max(initial=0))
         self.p, self.unknown = model.pieces, len(model.pieces) - 1
-        self.memo: dict[bytes, int] = {}
-        self.known = np.zeros((0, len(model.languages) + 1))
 
     @staticmethod
     def _codes(strings: list[str]) -> np.ndarray:
         return np.frombuffer("".join(strings).encode("utf-32-le"), np.uint32).astype(np.uint64)
 
-    def _arcs(self, flat: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Pieces that end at a code point and begin at most `place` before it: last code point, length, piece.
+    def _arcs(self, flat: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pieces that end at a code point and begin at most `before` before it: last code point, length, piece.
 
         A code point that is no piece counts as an unknown one, so that something always ends everywhere.
         """
         h, found = np.zeros(len(flat), np.uint64), []
         for n in range(1, min(self.longest, len(flat)) + 1):
             h[n - 1 :] = _extended(h[n - 1 :], flat[: len(flat) - n + 1])
-            last = np.flatnonzero(place >= n - 1)
-            at = np.minimum(np.searchsorted(self.keys, h[last]), len(self.keys) - 1)
-            hit = self.keys[at] == h[last]
-            piece = self.ids[at]
+            last = np.flatnonzero(before >= n - 1)
+            asked = h[last]
+            place = (asked >> np.uint64(64 - _PLACE_BITS)).astype(np.int64)
+            at, size = self.first[place], self.first[place + 1] - self.first[place]
+            piece = np.full(len(last), -1)
+            for k in range(self.deepest):
+                some = np.flatnonzero(size > k)
+                some = some[self.keys[at[some] + k] == asked[some]]
+                piece[some] = self.ids[at[some] + k]
             if n == 1:
-                piece, hit = np.where(hit, piece, self.unknown), np.ones(len(last), bool)
+                piece[piece < 0] = self.unknown
+            hit = piece >= 0
             found.append((last[hit], np.full(int(hit.sum()), n), piece[hit]))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
@@ -236,21 +239,12 @@ class _Forward:
         return out
 
     def scores(self, words: list[bytes]) -> np.ndarray:
-        if len(self.memo) > 200_000:
-            self.memo, self.known = {}, self.known[:0]
-        missing = [w for w in words if w not in self.memo]
-        if missing:
-            new = [self.words(missing[k : k + 16384]) for k in range(0, len(missing), 16384)]
-            self.memo.update(zip(missing, range(len(self.known), len(self.known) + len(missing)), strict=True))
-            self.known = np.concatenate([self.known, *new])
-        return self.known[list(map(self.memo.__getitem__, words))]
+        return np.concatenate([self.words(words[k : k + 16384]) for k in range(0, len(words), 16384)])
 
 
 def _labels(model: Model, rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each row: whether its language is told, the language's number, and the score."""
-    if _cache.get("model") != model.key:
-        _cache.update(model=model.key, forward=_Forward(model))
-    forward, n_lang, n = _cache["forward"], len(model.languages), rows.num_rows
+    forward, n_lang, n = _text.held(("forward", model.key), lambda: _Forward(model)), len(model.languages), rows.num_rows
     doc, number, words = _unique_words(rows)
     known, score, best = np.zeros(n, bool), np.zeros(n), np.zeros(n, np.int64)
     if words and n_lang:
@@ -266,7 +260,7 @@ def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for rows in _text.slices(batch):
+            for rows in _text.slices(batch, limit=_SLICE):
                 known, best, score = _labels(model, rows)
                 names = [model.languages[k] if ok else UNDETERMINED for k, ok in zip(best.tolist(), known.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["held_out"], pa.array(names, pa.string()), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
@@ -278,7 +272,7 @@ def _keep(shared, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for rows in _text.slices(batch):
+            for rows in _text.slices(batch, limit=_SLICE):
                 known, best, score = _labels(model, rows)
                 keep = known & (score >= least)
                 names = pa.array([model.languages[k] if ok else None for k, ok in zip(best.tolist(), keep.tolist(), strict=True)], pa.string())

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylattice.llm import _text
-from skylattice.llm._pieces import encoder, with_end
+from skylattice.llm._pieces import SLICE_BYTES, encoder, with_end
 from skylattice.llm._shared import documents
 
 CAPACITY = 2048
@@ -110,7 +110,7 @@ def _pack(path: str, end: int, capacity: int, batch_windows: int):
             held.clear()
 
         for batch in batches:
-            for rows in _text.slices(batch):
+            for rows in _text.slices(batch, limit=SLICE_BYTES):
                 ids, offsets = with_end(*encode(*_text.buffer(rows["text"])), end)
                 raw = memoryview(ids.astype("<u4")).cast("B")
                 out: list[tuple] = []

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skylattice.llm import _text
-from skylattice.llm._pieces import encoder, with_end
+from skylattice.llm._pieces import SLICE_BYTES, encoder, with_end
 from skylattice.llm._shared import documents, new_folder
 
 END_ID = 2
@@ -42,7 +42,7 @@ def _encode(path: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, place = encoder(path, True).encode, TaskContext.get().partitionId(), 0
         for batch in batches:
-            for rows in _text.slices(batch):
+            for rows in _text.slices(batch, limit=SLICE_BYTES):
                 ids, offsets = with_end(*encode(*_text.buffer(rows["text"])), end)
                 n = rows.num_rows
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
