@@ -265,9 +265,9 @@ def key_intersection(spark, sf):
     return A.table(spark, sf, "supplier").select(F.col("s_nationkey").alias("k")).intersect(A.table(spark, sf, "customer").where("c_acctbal > 9000").select("c_nationkey"))
 
 
-@query("SELECT c_nationkey AS k FROM customer EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal > 0")
+@query("SELECT c_nationkey AS k FROM customer EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal > 8000")
 def key_difference(spark, sf):
-    return A.table(spark, sf, "customer").select(F.col("c_nationkey").alias("k")).distinct().exceptAll(A.table(spark, sf, "supplier").where("s_acctbal > 0").select("s_nationkey").distinct())
+    return A.table(spark, sf, "customer").select(F.col("c_nationkey").alias("k")).distinct().exceptAll(A.table(spark, sf, "supplier").where("s_acctbal > 8000").select("s_nationkey").distinct())
 
 
 @query("SELECT event_id, user_id, value FROM events ORDER BY value DESC, event_id LIMIT 25")
@@ -526,24 +526,29 @@ def json_property_counts(spark, sf):
 # -- linkage and windows
 
 
+def _placed(spark, sf):
+    """Sources with positions a few tenths of an arcsecond apart, so that the distance decides."""
+    return A.sources(spark, sf).withColumns({"ra": (F.col("source_id") % 5) * F.lit(0.0002), "dec": F.lit(0.0)})
+
+
 _PAIRS = with_views(
     A.SOURCES,
-    "t AS (SELECT object_id, night, count(*) FILTER (gap <= 0.0625::DOUBLE) AS n_pairs FROM (SELECT *, mjd - lag(mjd) OVER (PARTITION BY object_id, night ORDER BY mjd, source_id) AS gap FROM (SELECT *, floor(mjd)::BIGINT AS night FROM sources)) GROUP BY 1, 2 HAVING count(*) FILTER (gap <= 0.0625::DOUBLE) > 0)",
+    "p AS (SELECT object_id, source_id, mjd, floor(mjd)::BIGINT AS night, (source_id % 5) * 0.0002::DOUBLE AS ra FROM sources)",
+    "t AS (SELECT object_id, a.night, count(*) AS n_pairs FROM p AS a JOIN p AS b USING (object_id) WHERE a.night = b.night AND (a.mjd < b.mjd OR (a.mjd = b.mjd AND a.source_id < b.source_id)) AND a.mjd >= b.mjd - 0.0625::DOUBLE AND 2 * degrees(asin(sin(radians(abs(a.ra - b.ra)) / 2))) * 3600 >= 1 GROUP BY 1, 2)",
 )
 
 
 @query(_PAIRS + "SELECT object_id, night, n_pairs FROM t")
 def nightly_tracklets(spark, sf):
-    return linkage.tracklets(A.sources(spark, sf), min_arcsec=None)
+    return linkage.tracklets(_placed(spark, sf))
 
 
-_NIGHTS = with_views(A.SOURCES, "d AS (SELECT DISTINCT object_id, floor(mjd)::BIGINT AS night FROM sources)", "f AS (SELECT object_id, min(night) AS discovery_night FROM (SELECT *, count(*) OVER (PARTITION BY object_id ORDER BY night RANGE BETWEEN 14 PRECEDING AND CURRENT ROW) AS k FROM d) WHERE k >= 3 GROUP BY 1)")
+_NIGHTS = _PAIRS.rstrip() + ", f AS (SELECT object_id, min(night) AS discovery_night FROM (SELECT *, count(*) OVER (PARTITION BY object_id ORDER BY night RANGE BETWEEN 14 PRECEDING AND CURRENT ROW) AS k FROM t) WHERE k >= 3 GROUP BY 1) "
 
 
 @query(_NIGHTS + "SELECT object_id, discovery_night FROM f")
 def rolling_15_night_discovery(spark, sf):
-    nights = A.sources(spark, sf).select("object_id", times.night(F.col("mjd")).alias("night")).distinct()
-    return linkage.discoveries(nights)
+    return linkage.discoveries(nightly_tracklets(spark, sf))
 
 
 @query(_NIGHTS + "SELECT object_id, CASE WHEN discovery_night IS NULL THEN 2048 ELSE 0 END AS flags FROM (SELECT DISTINCT object_id FROM sources) LEFT JOIN f USING (object_id)")

@@ -122,6 +122,15 @@ def hg12_array(phi1: np.ndarray, phi2: np.ndarray, phi3: np.ndarray, h: np.ndarr
         return h - 2.5 * np.log10(g1 * phi1 + g2 * phi2 + (1 - g1 - g2) * phi3)
 
 
+def hg_basis_array(phase: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two basis functions of hg_bowell; phase in radians."""
+    s, t = np.sin(phase), np.tan(phase / 2)
+    w = np.exp(-90.56 * t * t)
+    scaled = s / (0.119 + 1.341 * s - 0.754 * s * s)
+    one, two = (w * (1 - c * scaled) + (1 - w) * np.exp(-a * t**b) for a, b, c in zip(HG_A, HG_B, HG_C, strict=True))
+    return one, two
+
+
 def hg_bowell(phase: Column, h: Column, g: Column) -> Column:
     """Two-term phase curve with the blend for small angles; phase in radians."""
     s, t = F.sin(phase), F.tan(phase / 2)

@@ -16,16 +16,25 @@ NOT_LINKED = 2048
 
 
 def tracklets(rows: DataFrame, key: str = "object_id", source: str = "source_id", mjd: str = "mjd", max_gap: float = MAX_GAP_DAYS, min_arcsec: float | None = MIN_ARCSEC) -> DataFrame:
-    """(key, night, n_pairs): nights with two consecutive observations close in time and apart on the sky.
+    """(key, night, n_pairs): nights with two observations close in time and apart on the sky, and how many such pairs they have.
 
-    `min_arcsec` None leaves the distance out, for rows without positions.
+    Every pair of a night counts, neighbours or not; an observation meets the earlier ones within `max_gap`, so a task holds that
+    much of one object's night. `min_arcsec` None leaves the distance out, for rows without positions.
     """
-    w = Window.partitionBy(key, "night").orderBy(mjd, source)
-    rows = rows.withColumn("night", times.night(F.col(mjd)))
-    near = F.col(mjd) - F.lag(mjd).over(w) <= max_gap
-    if min_arcsec is not None:
-        near = near & (sky.separation(F.lag("ra").over(w), F.lag("dec").over(w), F.col("ra"), F.col("dec")) * 3600 >= min_arcsec)
-    return rows.withColumn("pair", F.coalesce(near, F.lit(False))).groupBy(key, "night").agg(F.count_if("pair").alias("n_pairs")).where("n_pairs > 0")
+    place = [F.col("ra"), F.col("dec")] if min_arcsec is not None else []
+    rows = rows.withColumn("night", times.night(F.col(mjd))).withColumn("_at", F.struct(F.col(mjd).alias("t"), F.col(source).alias("s"), *place))
+    # a range of fractions of a day can be told in SQL alone
+    before = F.expr(f"collect_list(_at) OVER (PARTITION BY `{key}`, night ORDER BY `{mjd}` RANGE BETWEEN CAST({max_gap!r} AS DOUBLE) PRECEDING AND CURRENT ROW)")
+    here = F.col("_at")
+
+    def paired(x):
+        earlier = (x["t"] < here["t"]) | ((x["t"] == here["t"]) & (x["s"] < here["s"]))
+        if min_arcsec is None:
+            return earlier
+        return earlier & (sky.separation(x["ra"], x["dec"], here["ra"], here["dec"]) * 3600 >= min_arcsec)
+
+    pairs = F.size(F.filter("_before", paired))
+    return rows.withColumn("_before", before).groupBy(key, "night").agg(F.sum(pairs).alias("n_pairs")).where("n_pairs > 0")
 
 
 def discoveries(nights: DataFrame, key: str = "object_id", least: int = NIGHTS, window: int = WINDOW_NIGHTS) -> DataFrame:

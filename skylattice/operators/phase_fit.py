@@ -6,7 +6,7 @@ NumPy steps, so the cost is that of the observations and not of a Python call pe
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -16,22 +16,44 @@ from pyspark.sql import types as T
 
 from skylattice.functions import photometry as P
 
+#: A model gets the phases (radians) of all observations and gives their magnitudes for parameters (H, G) of each observation.
+Model = Callable[[np.ndarray], Callable[[np.ndarray, np.ndarray], np.ndarray]]
+
+
+def hg12_model(phase: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    basis = [P.phi_array(k, phase) for k in (1, 2, 3)]
+    return lambda h, g: P.hg12_array(*basis, h, g)
+
+
+def hg_model(phase: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """The two-term curve."""
+    p1, p2 = P.hg_basis_array(phase)
+    return lambda h, g: h - 2.5 * np.log10((1 - g) * p1 + g * p2)
+
+
+def linear_model(phase: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Magnitudes that fall off by G a degree."""
+    return lambda h, g: h + g * np.degrees(phase)
+
+
+MODELS: dict[str, Model] = {"HG12": hg12_model, "HG": hg_model, "linear": linear_model}
+
 FIT = "H double, G12 double, HErr double, G12Err double, H_G12_Cov double, chi2 double, chi2dof double, n_used int"
 TOLERANCE = 1.49012e-8
 
 
-def fit_groups(mag: np.ndarray, sigma: np.ndarray, phase_deg: np.ndarray, sizes: np.ndarray, start_g12: float = 0.1, max_steps: int = 200):
-    """(H, G12, errors, covariance, chi2) per group of consecutive observations; failed fits are NaN."""
+def fit_groups(mag: np.ndarray, sigma: np.ndarray, phase_deg: np.ndarray, sizes: np.ndarray, start_g12: float = 0.1, max_steps: int = 200, model: str | Model = "HG12"):
+    """(H, G12 or the model's second parameter, errors, covariance, chi2) per group of consecutive observations; failed fits are NaN."""
     n = len(sizes)
     out = np.full((n, 6), np.nan)
     if not n:
         return out
     group = np.repeat(np.arange(n), sizes)
     first = np.cumsum(sizes) - sizes
-    basis = [P.phi_array(k, np.radians(phase_deg)) for k in (1, 2, 3)]
+    magnitude = (MODELS[model] if isinstance(model, str) else model)(np.radians(phase_deg))
 
     def curve(h, g):
-        return P.hg12_array(*basis, h[group], g[group])
+        return magnitude(h[group], g[group])
 
     def total(x):
         return np.add.reduceat(x, first)
@@ -80,7 +102,7 @@ def gather(rows: DataFrame, keys: list[str], order: Column, mag: Column, sigma:
     return gathered.withColumn("obs", F.filter("obs", lambda o: (o["sigma"] > 0) & o["phase"].isNotNull() & ~F.isnan(o["phase"]) & (o["mag"] < float("inf"))))
 
 
-def fit_hg12(rows: DataFrame, keys: list[str], order: Column, mag: Column, sigma: Column, phase: Column, min_obs: int = 2, min_span: float = 0.0) -> DataFrame:
+def fit_hg12(rows: DataFrame, keys: list[str], order: Column, mag: Column, sigma: Column, phase: Column, min_obs: int = 2, min_span: float = 0.0, model: str | Model = "HG12") -> DataFrame:
     """keys and FIT of each group with `min_obs` usable observations over more than `min_span` degrees (none: any span).
 
     A failed fit has NULL parameters and n_used 0; chi2dof is NULL for two observations.
@@ -96,7 +118,7 @@ def fit_hg12(rows: DataFrame, keys: list[str], order: Column, mag: Column, sigma
         for part in parts:
             sizes = part["mag"].map(len).to_numpy() if len(part) else np.zeros(0, int)
             columns = [np.concatenate([np.zeros(0), *part[c]]) for c in ("mag", "sigma", "phase")]
-            found = fit_groups(*columns, sizes)
+            found = fit_groups(*columns, sizes, model=model)
             out = part[keys].copy()
             for k, name in enumerate(("H", "G12", "HErr", "G12Err", "H_G12_Cov", "chi2")):
                 out[name] = found[:, k]
@@ -117,7 +139,7 @@ def observation(band: Column, order: Column, mag: Column, sigma: Column, phase:
     return F.struct(order.alias("o"), band.alias("band"), mag.cast("double").alias("mag"), sigma.cast("double").alias("sigma"), phase.cast("double").alias("phase"))
 
 
-def fit_bands(grouped: DataFrame, bands: str, obs: str = "obs", min_obs: int = 2, min_span: float = 0.0, chi2_per_dof: bool = False) -> DataFrame:
+def fit_bands(grouped: DataFrame, bands: str, obs: str = "obs", min_obs: int = 2, min_span: float = 0.0, chi2_per_dof: bool = False, model: str | Model = "HG12") -> DataFrame:
     """`grouped` without its array of observations, with BAND_FIT of every band; NULL where a band has too few.
 
     The array comes from the same grouping as an object's other aggregates, so fits need no shuffle and no join.
@@ -137,7 +159,7 @@ def fit_bands(grouped: DataFrame, bands: str, obs: str = "obs", min_obs: int = 2
                 span = np.array([np.ptp(x) if len(x) else 0.0 for x in columns[2]])
                 tried = (sizes >= min_obs) & ((span > min_span) if min_span > 0 else True)
                 found = np.full((len(part), 6), np.nan)
-                found[tried] = fit_groups(*[np.concatenate([np.zeros(0), *c[tried]]) for c in columns], sizes[tried])
+                found[tried] = fit_groups(*[np.concatenate([np.zeros(0), *c[tried]]) for c in columns], sizes[tried], model=model)
                 chi2 = np.where(sizes > 2, 2 * found[:, 5] / np.maximum(sizes - 2, 1), np.nan) if chi2_per_dof else found[:, 5]
                 for name, values in zip(BAND_FIT, (found[:, 0], found[:, 2], found[:, 1], found[:, 3], found[:, 4], chi2), strict=False):
                     out[f"{b}_{name}"] = values

@@ -85,7 +85,9 @@ def object_aggregates(rows: DataFrame) -> DataFrame:
 def build_ssobject(sss: DataFrame, dia: DataFrame, orbit_table: DataFrame, solver: MoidSolver = MoidSolver(), sentinels: bool = False, **fit) -> DataFrame:
     """The per-object catalogue. Values that can't be had are NULL, or with `sentinels` what zero-filled records hold."""
     rows = observations(R.nonnegative(sss, "ssObjectId", "diaSourceId"), R.nonnegative(dia, "diaSourceId"))
-    orbit = with_moid(orbit_table.select(*ORBIT_COLUMNS).withColumnRenamed("unpacked_primary_provisional_designation", "designation").dropDuplicates(["designation"]), solver)
+    # distances are costly: only the orbits of objects that are there get one
+    asked = rows.select("designation").distinct()
+    orbit = with_moid(orbit_table.select(*ORBIT_COLUMNS).withColumnRenamed("unpacked_primary_provisional_designation", "designation").join(asked, "designation", "left_semi").dropDuplicates(["designation"]), solver)
     orbit = orbit.select(
         "designation",
         orbits.tisserand_jupiter(orbits.semi_major_axis(F.col("q"), F.col("e")), F.col("e"), F.col("i")).alias("tisserand_J"),

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skylattice.functions import times
 from skylattice.sources.readers import ExportSpec
@@ -62,6 +63,18 @@ def write_jdbc(df: DataFrame, options: dict[str, str], table: str, mode: str = "
     nan_to_null(df).write.format("jdbc").options(**options, dbtable=table).mode(mode).save()
 
 
+def load_control(table: str, schema: T.StructType, source: str, limit: int | None = None) -> str:
+    """A bulk loader's control file for a CSV that nan_to_null() and write_csv() made: empty fields are NULL."""
+    lines = [f"OUTPUT = {table}", f"INPUT = {source}", "TYPE = CSV", "SKIP = 1", 'NULL = ""', 'DELIMITER = ","', f"LIMIT = {'INFINITE' if limit is None else limit}"]
+    return "\n".join([*lines, "# columns: " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)]) + "\n"
+
+
+def index_statements(table: str, unique: tuple[str, ...] = (), secondary: tuple[str, ...] = ()) -> list[str]:
+    """CREATE INDEX statements for a loaded table: one unique index over the key columns, one for each column that is looked up."""
+    made = [f'CREATE UNIQUE INDEX "{table}_key" ON "{table}" ({", ".join(f"{chr(34)}{c}{chr(34)}" for c in unique)});'] if unique else []
+    return made + [f'CREATE INDEX "{table}_{c}" ON "{table}" ("{c}");' for c in secondary]
+
+
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, unique: tuple[str, ...] = ()) -> None:
     """A table whose joins and groupings by `key` need no shuffle."""
     df.write.bucketBy(buckets, key).sortBy(key, *unique).mode("overwrite").saveAsTable(table)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from pathlib import Path
+from urllib.parse import parse_qsl, unquote, urlsplit
 
 import yaml
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -106,6 +108,23 @@ def hdf_files(spark: SparkSession, path: str, key: str, schema: T.StructType) ->
     return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, schema)
 
 
+def parse_dsn(dsn: str) -> dict[str, str]:
+    """Settings of a connection string: a postgresql:// address, or key = value pairs whose values may be quoted."""
+    if re.match(r"postgres(?:ql)?://", dsn):
+        parts = urlsplit(dsn)
+        found = {"host": parts.hostname, "port": parts.port, "dbname": parts.path.lstrip("/"), "user": parts.username, "password": parts.password}
+        return {k: unquote(str(v)) for k, v in found.items() if v} | dict(parse_qsl(parts.query))
+    pair = re.compile(r"\s*(\w+)\s*=\s*(?:'((?:[^'\\]|\\.)*)'|((?:[^\s'\\]|\\.)*))(?:\s+|$)")
+    found, at = {}, 0
+    while at < len(dsn.rstrip()):
+        m = pair.match(dsn, at)
+        if not m:
+            raise ValueError("connection string is not made of key = value pairs")
+        found[m[1]] = re.sub(r"\\(.)", r"\1", m[2] if m[2] is not None else m[3])
+        at = m.end()
+    return found
+
+
 @dataclass(frozen=True)
 class Connection:
     """How to reach Postgres. A DSN comes before a service, a service before flags, flags before the environment."""
@@ -121,7 +140,7 @@ class Connection:
     def settings(self, env: dict[str, str] | None = None) -> dict[str, str]:
         env = dict(os.environ if env is None else env)
         if self.dsn:
-            return dict(pair.split("=", 1) for pair in self.dsn.split())
+            return parse_dsn(self.dsn)
         service = self.service or (env.get("PGSERVICE") if not (self.host or self.dbname) else None)
         if service:
             return self._service(service, env)

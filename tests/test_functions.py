@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from skylattice.functions import ids, orbits, photometry, sky, times
 from skylattice.operators.ephemeris import observer
+from skylattice.operators import phase_fit
 from skylattice.operators.moid import MoidSolver, with_moid
 from skylattice.operators.phase_fit import fit_groups, fit_hg12
 
@@ -92,6 +93,33 @@ def test_moid(spark):
     assert got["a"] > 0 and got["b"] is None and got["c"] is None
 
 
+def test_moid_of_many_is_that_of_each():
+    rng = np.random.default_rng(4)
+    others = np.stack([rng.uniform(0.6, 4, 70), rng.uniform(0, 0.95, 70), rng.uniform(0, 60, 70), rng.uniform(0, 360, 70), rng.uniform(0, 360, 70)], 1)
+    others[5, 1], others[6, 0] = 1.2, np.nan
+    for mode in ("multistart", "greedy"):
+        got = MoidSolver(mode=mode).solve_all((1.0, 0.0167, 0.0, 0.0, 102.9), others)
+        assert np.isnan(got[5]).all() and np.isnan(got[6]).all()
+        for k in (0, 17, 69):
+            assert np.allclose(got[k], MoidSolver(mode=mode).solve((1.0, 0.0167, 0.0, 0.0, 102.9), tuple(others[k])), atol=1e-9)
+    fine = np.linspace(0, 2 * np.pi, 721)[:-1]
+    for k in range(3):
+        r1 = orbits.position(1.0, 0.0167, orbits.axes(0.0, 0.0, 102.9), fine)
+        r2 = orbits.position(others[k, 0], others[k, 1], orbits.axes(*others[k, 2:]), fine)
+        brute = np.sqrt(((r1[:, None] - r2[None]) ** 2).sum(-1).min())
+        assert MoidSolver().solve((1.0, 0.0167, 0.0, 0.0, 102.9), tuple(others[k]))[0] <= brute + 1e-9
+
+
+@pytest.mark.parametrize("model,g", [("HG12", 0.3), ("HG", 0.15), ("linear", 0.03)])
+def test_fits_by_any_model(model, g):
+    phase = np.linspace(1, 60, 50)
+    mag = phase_fit.MODELS[model](np.radians(phase))(np.full(50, 17.0), np.full(50, g))
+    own = phase_fit.MODELS[model]
+    for chosen in (model, lambda x: own(x)):
+        found = fit_groups(mag, np.full(50, 0.05), phase, np.array([50]), model=chosen)[0]
+        assert found[0] == pytest.approx(17, abs=1e-6) and found[1] == pytest.approx(g, abs=1e-6)
+
+
 def test_fits(spark):
     phase = np.linspace(0, 90, 100)
     basis = [photometry.phi_array(k, np.radians(phase)) for k in (1, 2, 3)]

@@ -76,6 +76,35 @@ def test_linkage(spark):
     assert rows(linkage.flag_unlinked(objects, linkage.discoveries(nights))) == [(1, 0), (2, 2049)]
 
 
+def test_tracklets_count_pairs_that_are_not_neighbours(spark):
+    step = 0.6 / 3600
+    obs = [(1, k, 100.0 + k * 0.01, k * step, 0.0) for k in range(3)] + [(2, 10, 100.0, 0.0, 0.0), (2, 11, 100.0, 1.0, 0.0), (2, 12, 100.08, 2.0, 0.0)]
+    df = spark.createDataFrame(obs, "object_id int, source_id int, mjd double, ra double, dec double")
+    assert rows(linkage.tracklets(df)) == [(1, 100, 1), (2, 100, 1)]  # first and last; the two of one time, and none 0.08 days later
+    assert rows(linkage.tracklets(df, min_arcsec=None)) == [(1, 100, 3), (2, 100, 1)]
+
+
+def test_connection_strings():
+    from skylattice.sources.readers import Connection, parse_dsn
+
+    assert parse_dsn("postgresql://me:p%40ss@db.org:5433/sky?sslmode=require") == {"host": "db.org", "port": "5433", "dbname": "sky", "user": "me", "password": "p@ss", "sslmode": "require"}
+    assert parse_dsn("host=db dbname = 'my sky' password='it\\'s' user=me") == {"host": "db", "dbname": "my sky", "password": "it's", "user": "me"}
+    with pytest.raises(ValueError):
+        parse_dsn("host=db nonsense")
+    assert Connection(dsn="postgres://me@db/sky").options({})["url"] == "jdbc:postgresql://db:5432/sky"
+
+
+def test_loader_control_and_indexes():
+    from pyspark.sql import types as T
+
+    from skylattice.sinks import writers
+
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ra", T.DoubleType())])
+    text = writers.load_control("sources", schema, "/in/sources.csv", 10)
+    assert "OUTPUT = sources\n" in text and "LIMIT = 10\n" in text and "id bigint, ra double" in text
+    assert writers.index_statements("s", ("id",), ("ra", "dec")) == ['CREATE UNIQUE INDEX "s_key" ON "s" ("id");', 'CREATE INDEX "s_ra" ON "s" ("ra");', 'CREATE INDEX "s_dec" ON "s" ("dec");']
+
+
 def test_object_catalog_sentinels(spark):
     sss, dia = [], []
     n = 0
