@@ -175,3 +175,71 @@ def test_ownership_separates_copies_from_live_values(spark, empty):
 
 def test_pii_of_nothing(empty, trees):
     assert pii.digests(empty, trees).count() == 0
+
+
+def plain_candidates(text):
+    return [(m.start(), len(secret_scan.BASE) + n, m.end(), kind, m[0]) for n, (kind, pattern) in enumerate(secret_scan.CANDIDATES.items()) for m in re.finditer(pattern, text, re.A)]
+
+
+def secret_scraps(seed):
+    rnd = random.Random(seed)
+    bits = ["ghp_" + "a1B2" * 6, "ghp_" + "Zx" * 150, "xoxb-" + "12ab-" * 3, "sk-live-" + "q9" * 12, "sk_" + "w" * 400, "AIza" + "x" * 35, "AIza" + "x" * 36, "eyJ" + "h" * 9 + "." + "p" * 12 + "." + "s" * 10]
+    bits += ["eyJ" + "h" * 2100 + "." + "p" * 4200 + "." + "s" * 1100, "-----BEGIN PRIVATE KEY-----", "-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN OPENSSH NEW PRIVATE KEY-----", "https://me:secret12@host", "ftp://" + "u" * 90 + ":" + "p" * 200 + "@h"]
+    bits += [" ", " ", "\n", "x", "é", "🎉", ".", "://", ":", "@", "gh", "eyJ"]
+    return ["".join(rnd.choice(bits) for _ in range(rnd.choice([1, 3, 8]))) for _ in range(250)]
+
+
+def test_added_secrets_are_the_plain_ones_that_few_hold(spark):
+    rows = [(k, t, f"o{k % 3}") for k, t in enumerate(secret_scraps(2))] + [(900 + k, "see ghp_" + "Q7" * 15, "o1") for k in range(30)] + [(950, "https://only:" + "here9" * 50 + "@x eyJ" + "k" * 3000 + "." + "l" * 20 + "." + "m" * 20, "o2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    owners, repos = {}, {}
+    for k, t, o in rows:
+        for *_, value in [*plain_candidates(t), *[(0, 0, 0, "", t[a:b]) for a, _, b, kind in plain_secrets(t) if kind != "assign"]]:
+            owners.setdefault(value, set()).add(o)
+            repos.setdefault(value, set()).add(k)
+    got = {r.doc_id: r.spans for r in secret_scan.digests(docs).collect()}
+    for k, t, _ in rows:
+        live = [s[:4] for s in plain_candidates(t) if len(owners[s[4]]) <= secret_scan.MAX_OWNERS and len(repos[s[4]]) <= secret_scan.MAX_REPOS]
+        assert got[k] == shown(sorted([*plain_secrets(t), *live], key=lambda s: s[:3])), t
+    assert not any("forge_token" in got[900 + k] for k in range(30))  # one owner, but copied into many repositories
+    assert any("forge_token" in s for s in got.values()) and any("web_token" in s for s in got.values()) and any("url_password" in s for s in got.values())
+
+
+def plain_features(text, n, kind, m):
+    found, before = m[0], text[max(0, m.start() - 40) : m.start()]
+    digits = re.sub("[^0-9]", "", found)
+
+    def has(pattern, s):
+        return re.search(pattern, s, re.A) is not None
+
+    if kind == "iban":
+        bare = found.replace(" ", "")
+        valid = int("".join(str(int(c, 36)) for c in bare[4:] + bare[:4])) % 97 == 1
+    elif kind == "national_id":
+        valid = not has("^(?:000|666|9)", found) and not has("00[- ][0-9]{4}$|0000$", found)
+    elif kind == "phone_local":
+        valid = has("^(?:0[1-9]|[2-9])", digits) and 8 <= len(digits) <= 12
+    elif kind == "email_spelt":
+        valid = has(r"(?:\.|\bdot\b[\])]?\x20?)[A-Za-z]{2,12}$", found) and has(r"[\[(]|\bdot\b", found)
+    else:
+        valid = not has("^(?:[0-9]{2}[:-]){5}[0-9]{2}$", found)
+    flags = [has(pii._FOR, before), has(pii._AGAINST, before), valid, has(r"[\[(]", found), has("-", found) and has(r"[.\x20]", found), has(r"^([0-9])\1*$", digits), has(r"[0-9][^A-Za-z]*$", before)]
+    return [n, len(digits), len(found), *map(int, flags)]
+
+
+def test_added_personal_data_is_what_the_trees_take(spark, trees):
+    rnd = random.Random(12)
+    sentences = [t for _, t, _ in pii.labelled_sample(400, 5)]
+    texts = [" ".join(rnd.choice(sentences) for _ in range(rnd.choice([1, 2, 5]))) + rnd.choice(["", ".", " é🎉"]) for _ in range(300)]
+    texts += ["write to " + "x" * 300 + " at " + "y" * 90 + " dot a dot b dot c dot d dot e dot com"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    taken = 0
+    for r in pii.digests(docs, trees).collect():
+        text, want = texts[r.doc_id], plain_pii(texts[r.doc_id])
+        for n, (kind, pattern) in enumerate(pii.GENERATORS.items(), len(pii.BASE)):
+            for m in re.finditer(pattern, text, re.A):
+                if trees.score_row(plain_features(text, n, kind, m)) >= trees.thresholds[n]:
+                    want.append((m.start(), n, m.end(), kind))
+        taken += len(want)
+        assert r.spans == shown(sorted(want)), text
+    assert taken > 200
