@@ -126,7 +126,7 @@ def orbit_left_join_sentinels(spark, sf):
     return joined.select("object_id", "n", F.coalesce(micro(F.col("tj")), F.lit(0)).cast("long").alias("tisserand_micro"), F.col("q").isNotNull().alias("matched"))
 
 
-@query(with_views(A.SOURCES, A.DETECTIONS) + "SELECT count(*) AS rows_before, (SELECT count(*) FROM sources JOIN detections ON source_id = obssubid) AS rows_after, false AS ok FROM sources")
+@query(with_views(A.SOURCES, A.DETECTIONS) + "SELECT count(*) AS rows_before, n AS rows_after, count(*) = n AS ok FROM sources, (SELECT count(*) AS n FROM sources JOIN detections ON source_id = obssubid) GROUP BY n")
 def cardinality_check(spark, sf):
     s = A.sources(spark, sf)
     return R.check_cardinality(s, R.associate(s, A.detections(spark, sf), "source_id"))
@@ -280,7 +280,7 @@ def distinct_rows(spark, sf):
     return A.table(spark, sf, "orders").select("o_custkey", "o_orderpriority").distinct()
 
 
-@query()
+@query("SELECT o_orderkey, o_custkey FROM orders ORDER BY md5(o_orderkey::VARCHAR), o_orderkey LIMIT 100")
 def exact_row_sample(spark, sf):
     return R.exact_sample(A.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 100)
 
@@ -507,6 +507,15 @@ def mjd_to_utc(spark, sf):
     return A.sources(spark, sf).select("source_id", times.mjd_tai_to_utc_micros(F.col("mjd")).alias("utc_micros"), times.night(F.col("mjd")).alias("night"))
 
 
+@query(
+    "SELECT o_orderkey, epoch_us(o_orderdate) + 43200000000 - 1000000 * CASE WHEN o_orderdate < DATE '1996-01-01' THEN 29 WHEN o_orderdate < DATE '1997-07-01' THEN 30 WHEN o_orderdate < DATE '1999-01-01' THEN 31 ELSE 32 END AS utc_micros FROM orders"
+)
+def noon_tai_to_utc(spark, sf):
+    """Over several ranges of leap seconds."""
+    noon = times.mjd_of(F.col("o_orderdate")) + F.lit(0.5)
+    return A.table(spark, sf, "orders").select("o_orderkey", times.mjd_tai_to_utc_micros(noon).alias("utc_micros"))
+
+
 @query(
     with_views(A.SOURCES)
     + "SELECT object_id::VARCHAR || '|' || strftime(make_timestamp((us // 1000) * 1000), '%Y-%m-%dT%H:%M:%S.%g') || 'Z|' || k::VARCHAR || '|' || band || '|X05|CCD|Gaia2' AS line FROM (SELECT *, floor((mjd - 40587) * 86400e6::DOUBLE + 0.5::DOUBLE)::BIGINT - 37000000 AS us FROM sources)"
@@ -607,9 +616,12 @@ def ssobject_full(spark, sf):
     return catalogs.build_ssobject(catalogs.build_sssource(dia, obs, numbered, current, orbit, check=False), dia, orbit)
 
 
-@query(with_views(A.SOURCES) + "SELECT count(*) AS pairs, 0::BIGINT AS violations FROM sources")
+@query(with_views(A.SOURCES) + "SELECT count(*) AS pairs, count(*) FILTER ((source_id % 5) * 4e-7 * 3600 > 0.005 OR source_id % 7 = 0) AS violations FROM sources")
 def association_check(spark, sf):
     dia, obs, *_ = _survey(spark, sf)
+    # every fifth detection is moved by more than is allowed, every seventh is reported a second late
+    late = F.when(F.col("obssubid") % 7 == 0, F.expr("INTERVAL 1 SECOND")).otherwise(F.expr("INTERVAL 0 SECOND"))
+    obs = obs.withColumns({"dec": F.col("dec") + (F.col("obssubid") % 5) * 4e-7, "obstime": F.col("obstime") + late})
     return catalogs.association_check(R.associate(dia, obs)).select("pairs", "violations")
 
 

@@ -6,12 +6,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylattice.functions import orbits, photometry, sky
 
+#: Times that go into one request to a remote service.
+EPOCHS_PER_REQUEST = 60
 EARTH_RADIUS_AU = 6378.137 / sky.AU_KM
 ELEMENTS = ("a", "e", "i", "node", "argperi", "mean_anomaly", "epoch_mjd")
 OUT = (
@@ -59,6 +61,30 @@ def with_ephemeris(rows: DataFrame, mjd: str, place: tuple[float, float, float],
     return rows.mapInPandas(run, T.StructType([*rows.schema.fields, *[T.StructField(name, T.DoubleType()) for name in OUT]]))
 
 
+def remote_ephemeris(rows: DataFrame, fetch: Callable[[str, list[float]], pd.DataFrame], schema: T.StructType, name: str = "designation", mjd: str = "mjd", chunk: int = EPOCHS_PER_REQUEST, attempts: int = 3) -> DataFrame:
+    """What a remote service tells of each object at its different times, asked for at most `chunk` times in one request.
+
+    `fetch` gets an object's name and times and gives a row per time, with the columns of `schema`. An object's times are
+    numbered by one window, so its requests spread over tasks; a request that fails is made again up to `attempts` times.
+    """
+    place = F.row_number().over(Window.partitionBy(name).orderBy(mjd)) - 1
+    asked = rows.select(name, mjd).distinct().withColumn("request", F.floor(place / F.lit(chunk)).cast("int"))
+    asked = asked.groupBy(name, "request").agg(F.array_sort(F.collect_list(mjd)).alias("times"))
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for who, times in zip(part[name], part["times"], strict=True):
+                for left in range(attempts - 1, -1, -1):
+                    try:
+                        yield fetch(who, list(times))[[f.name for f in schema.fields]]
+                        break
+                    except OSError:
+                        if not left:
+                            raise
+
+    return asked.mapInPandas(run, schema)
+
+
 def with_geometry(df: DataFrame, ra: str, dec: str, mjd: str, h: str = "h", g: str = "g") -> DataFrame:
     """Distances, rates, offsets, phase angle, brightness and sky coordinates, as native columns."""
     helio, helio_v, topo, topo_v, place = (tuple(F.col(f"{p}{k}") for k in "xyz") for p in ("helio_", "helio_v", "topo_", "topo_v", "obs_"))

@@ -89,8 +89,8 @@ def contiguity(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def exact_sample(df: DataFrame, key: str, n: int) -> DataFrame:
-    """n rows, the same ones every time: those with the smallest hashes."""
-    return df.orderBy(F.xxhash64(key), key).limit(n)
+    """n rows, the same ones every time: those with the smallest hashes of the key."""
+    return df.orderBy(F.md5(F.col(key).cast("string")), key).limit(n)
 
 
 def set_flag(flags: Column, bit: int, when: Column) -> Column:

@@ -83,7 +83,7 @@ def whitespace_table(spark: SparkSession, path: str, names: Sequence[str], types
         # the first lines of each file are its smallest offsets
         lines = lines.select("value", "_metadata.file_path", "_metadata.file_block_start").withColumn("n", F.monotonically_increasing_id())
         head = lines.groupBy("file_path").agg(F.min("n").alias("first"))
-        lines = lines.join(F.broadcast(head), "file_path").where(F.col("n") - F.col("first") >= skip)
+        lines = lines.join(head, "file_path").where(F.col("n") - F.col("first") >= skip)
     parts = F.split(F.trim("value"), r"\s+")
     rows = lines.where(F.trim("value") != "").select(parts.alias("p"))
     return rows.select(*[F.get("p", F.lit(k)).cast(kind).alias(name) for k, (name, kind) in enumerate(zip(names, types, strict=True))])
@@ -231,6 +231,17 @@ def observatories(spark: SparkSession, rows: Sequence[tuple] = OBSERVATORIES) ->
     return spark.createDataFrame(list(rows), "code string, longitude double, rho_cos double, rho_sin double, name string")
 
 
+def observatory_codes(spark: SparkSession, path: str) -> DataFrame:
+    """The public table of observatory codes, a text of fixed columns; a place that is not given is NULL."""
+    line = F.col("value")
+
+    def number(start: int, size: int) -> Column:
+        return F.expr(f"try_cast(nullif(trim(substring(value, {start}, {size})), '') AS double)")
+
+    rows = spark.read.text(path).where(line.rlike("^[0-9A-Z][0-9]{2} "))
+    return rows.select(F.substring(line, 1, 3).alias("code"), number(5, 9).alias("longitude"), number(14, 8).alias("rho_cos"), number(22, 9).alias("rho_sin"), F.trim(F.substring(line, 31, 200)).alias("name"))
+
+
 def observatory(spark: SparkSession, code: str, table: DataFrame | None = None) -> tuple[float, float, float]:
     """(longitude, rho cos, rho sin) of exactly one observatory with a fixed place."""
     found = (observatories(spark) if table is None else table).where(F.col("code") == code).limit(2).collect()

@@ -255,3 +255,56 @@ def test_every_registered_query_runs(spark):
     for name in catalogue.QUERIES:
         assert catalogue.QUERIES[name](spark, SF).columns, name
     assert set(catalogue.SQL) <= set(catalogue.QUERIES)
+
+
+def test_fits_tables(spark, tmp_path):
+    import numpy as np
+    from pyspark.sql import types as T
+
+    from skylattice.sources import fits
+
+    def header(*cards):
+        lines = "".join(f"{k:<8}= {v}".ljust(80) if v is not None else k.ljust(80) for k, v in [*cards, ("END", None)])
+        return lines.encode().ljust(-(-len(lines) // 2880) * 2880)
+
+    def file(names):
+        rows = np.zeros(len(names), np.dtype([("name", "S6"), ("id", ">i8"), ("mag", ">f4"), ("xyz", ">f8", (3,)), ("ok", "S1"), ("n", ">i2")]))
+        for k, x in enumerate(names):
+            rows[k] = (x.encode(), k + (1 << 40), k / 4, (k, -k, 0.5), b"T" if k % 2 else b"F", k)
+        forms = (("name", "6A"), ("id", "K"), ("mag", "1E"), ("xyz", "3D"), ("ok", "L"), ("n", "I"))
+        cards = [("XTENSION", "'BINTABLE'"), ("BITPIX", "8"), ("NAXIS", "2"), ("NAXIS1", str(rows.itemsize)), ("NAXIS2", str(len(names))), ("PCOUNT", "0"), ("GCOUNT", "1"), ("TFIELDS", "6")]
+        cards += [c for k, (n, f) in enumerate(forms, 1) for c in ((f"TTYPE{k}", f"'{n}'  / a column"), (f"TFORM{k}", f"'{f}'"))] + [("TZERO6", "32768")]
+        return header(("SIMPLE", "T"), ("BITPIX", "8"), ("NAXIS", "0")) + header(*cards) + rows.tobytes().ljust(-(-rows.nbytes // 2880) * 2880, b"\0")
+
+    (tmp_path / "a.fits").write_bytes(file(["Ceres", "Vesta"]))
+    (tmp_path / "b.fits").write_bytes(file(["Pallas", "Vesta", ""]))
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("id", T.LongType()), T.StructField("mag", T.FloatType()), T.StructField("xyz", T.ArrayType(T.DoubleType())), T.StructField("ok", T.BooleanType()), T.StructField("n", T.DoubleType())])
+    got = sorted(tuple(r) for r in fits.fits_tables(spark, f"file://{tmp_path}/*.fits", schema).collect())
+    assert got[1] == ("Ceres", 1 << 40, 0.0, [0.0, 0.0, 0.5], False, 32768.0) and got[-1][:2] == ("Vesta", (1 << 40) + 1) and len(got) == 5
+    assert fits.fits_tables(spark, f"file://{tmp_path}/*.fits", schema, unique="name").count() == 4
+    with pytest.raises(ValueError):
+        fits.table(file(["x"]), number=2)
+
+
+def test_observatory_codes(spark, tmp_path):
+    from skylattice.sources.readers import observatory, observatory_codes
+
+    lines = ["Code  Long.   cos      sin    Name", "000   0.0000 0.62411 +0.77873 Greenwich", "247                           Roving Observer", "X05 289.250580.864981-0.500958Simonyi Survey Telescope"]
+    (tmp_path / "codes.txt").write_text("\n".join(lines))
+    codes = observatory_codes(spark, f"file://{tmp_path}/codes.txt")
+    assert observatory(spark, "X05", codes) == (289.25058, 0.864981, -0.500958) and observatory(spark, "000", codes) == (0.0, 0.62411, 0.77873)
+    for code in ("247", "999"):
+        with pytest.raises(ValueError):
+            observatory(spark, code, codes)
+
+
+def test_remote_ephemeris_asks_in_chunks(spark):
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    from skylattice.operators.ephemeris import remote_ephemeris
+
+    rows_ = [("a", 60000.0 + k) for k in range(130)] * 2 + [("b", 60000.0)]
+    schema = T.StructType([T.StructField("designation", T.StringType()), T.StructField("mjd", T.DoubleType()), T.StructField("asked", T.LongType())])
+    got = remote_ephemeris(spark.createDataFrame(rows_, "designation string, mjd double"), lambda who, at: pd.DataFrame({"designation": who, "mjd": at, "asked": len(at)}), schema).collect()
+    assert len(got) == 131 and sorted({(r.designation, r.asked) for r in got}) == [("a", 10), ("a", 60), ("b", 1)]
