@@ -6,45 +6,216 @@ from pyspark.sql import types as T
 
 BANDS = "ugrizy"
 
-_TYPES = {"l": T.LongType(), "i": T.IntegerType(), "h": T.ShortType(), "f": T.FloatType(), "d": T.DoubleType(), "b": T.BooleanType(), "s": T.StringType(), "t": T.TimestampNTZType(), "z": T.ArrayType(T.StringType())}
+_TYPES = {
+    "long": T.LongType(),
+    "int": T.IntegerType(),
+    "short": T.ShortType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "string": T.StringType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "array<string>": T.ArrayType(T.StringType()),
+}
 
 
 def _table(text: str) -> T.StructType:
-    """From `name:type` or `name:type:unit` words."""
+    """From lines with a column's name, type and perhaps unit."""
     fields = []
-    for word in text.split():
-        name, kind, *unit = word.split(":")
+    for line in filter(str.strip, text.splitlines()):
+        name, kind, *unit = line.split()
         fields.append(T.StructField(name, _TYPES[kind], True, {"unit": unit[0]} if unit else {}))
     return T.StructType(fields)
 
 
-_BAND = "{b}_nObs:i {b}_H:f:mag {b}_HErr:f:mag {b}_G12:f {b}_G12Err:f {b}_H_{b}_G12_Cov:f {b}_nObsUsed:i {b}_Chi2:f {b}_phaseAngleMin:f:deg {b}_phaseAngleMax:f:deg {b}_slope_fit_failed:b"
+_BAND = """
+    {b}_nObs int
+    {b}_H float mag
+    {b}_HErr float mag
+    {b}_G12 float
+    {b}_G12Err float
+    {b}_H_{b}_G12_Cov float
+    {b}_nObsUsed int
+    {b}_Chi2 float
+    {b}_phaseAngleMin float deg
+    {b}_phaseAngleMax float deg
+    {b}_slope_fit_failed boolean
+"""
 
 SS_OBJECT = _table(
-    "ssObjectId:l designation:s nObs:i arc:f:d firstObservationMjdTai:d:d MOIDEarth:f:AU MOIDEarthDeltaV:f:km/s MOIDEarthEclipticLongitude:f:deg "
-    "MOIDEarthTrueAnomaly:f:deg MOIDEarthTrueAnomalyObject:f:deg tisserand_J:f extendednessMax:f extendednessMedian:f extendednessMin:f " + " ".join(_BAND.format(b=b) for b in BANDS)
+    """
+    ssObjectId long
+    designation string
+    nObs int
+    arc float d
+    firstObservationMjdTai double d
+    MOIDEarth float AU
+    MOIDEarthDeltaV float km/s
+    MOIDEarthEclipticLongitude float deg
+    MOIDEarthTrueAnomaly float deg
+    MOIDEarthTrueAnomalyObject float deg
+    tisserand_J float
+    extendednessMax float
+    extendednessMedian float
+    extendednessMin float
+    """
+    + "".join(_BAND.format(b=b) for b in BANDS)
 )
 SS_SOURCE = _table(
-    "diaSourceId:l ssObjectId:l designation:s eclLambda:d:deg eclBeta:d:deg galLon:d:deg galLat:d:deg elongation:f:deg phaseAngle:f:deg topoRange:f:AU "
-    "topoRangeRate:f:km/s helioRange:f:AU helioRangeRate:f:km/s ephRa:d:deg ephDec:d:deg ephVmag:f:mag ephRate:f:deg/d ephRateRa:f:deg/d ephRateDec:f:deg/d "
-    "ephOffset:f:arcsec ephOffsetRa:d:arcsec ephOffsetDec:d:arcsec ephOffsetAlongTrack:f:arcsec ephOffsetCrossTrack:f:arcsec helio_x:f:AU helio_y:f:AU helio_z:f:AU "
-    "helio_vx:f:km/s helio_vy:f:km/s helio_vz:f:km/s helio_vtot:f:km/s topo_x:f:AU topo_y:f:AU topo_z:f:AU topo_vx:f:km/s topo_vy:f:km/s topo_vz:f:km/s topo_vtot:f:km/s diaDistanceRank:h"
+    """
+    diaSourceId long
+    ssObjectId long
+    designation string
+    eclLambda double deg
+    eclBeta double deg
+    galLon double deg
+    galLat double deg
+    elongation float deg
+    phaseAngle float deg
+    topoRange float AU
+    topoRangeRate float km/s
+    helioRange float AU
+    helioRangeRate float km/s
+    ephRa double deg
+    ephDec double deg
+    ephVmag float mag
+    ephRate float deg/d
+    ephRateRa float deg/d
+    ephRateDec float deg/d
+    ephOffset float arcsec
+    ephOffsetRa double arcsec
+    ephOffsetDec double arcsec
+    ephOffsetAlongTrack float arcsec
+    ephOffsetCrossTrack float arcsec
+    helio_x float AU
+    helio_y float AU
+    helio_z float AU
+    helio_vx float km/s
+    helio_vy float km/s
+    helio_vz float km/s
+    helio_vtot float km/s
+    topo_x float AU
+    topo_y float AU
+    topo_z float AU
+    topo_vx float km/s
+    topo_vy float km/s
+    topo_vz float km/s
+    topo_vtot float km/s
+    diaDistanceRank short
+    """
+)
+DIA_SOURCE = _table(
+    """
+    diaSourceId long
+    ssObjectId long
+    midpointMjdTai double
+    ra double
+    dec double
+    extendedness float
+    band string
+    psfFlux double
+    psfFluxErr double
+    """
+)
+OBS_SBN = _table(
+    """
+    trksub string
+    obssubid long
+    provid string
+    permid string
+    submission_id string
+    ra double
+    dec double
+    obstime timestamp_ntz
+    designation_asterisk boolean
+    """
 )
-DIA_SOURCE = _table("diaSourceId:l ssObjectId:l midpointMjdTai:d ra:d dec:d extendedness:f band:s psfFlux:d psfFluxErr:d")
-OBS_SBN = _table("trksub:s obssubid:l provid:s permid:s submission_id:s ra:d dec:d obstime:t designation_asterisk:b")
 MPC_ORBITS = _table(
-    "id:i designation:s packed_primary_provisional_designation:s unpacked_primary_provisional_designation:s mpc_orb_jsonb:s created_at:t updated_at:t orbit_type_int:i u_param:i nopp:i "
-    "arc_length_total:d arc_length_sel:d nobs_total:i nobs_total_sel:i a:d q:d e:d i:d node:d argperi:d peri_time:d yarkovsky:d srp:d a1:d a2:d a3:d dt:d mean_anomaly:d period:d mean_motion:d "
-    "a_unc:d q_unc:d e_unc:d i_unc:d node_unc:d argperi_unc:d peri_time_unc:d yarkovsky_unc:d srp_unc:d a1_unc:d a2_unc:d a3_unc:d dt_unc:d mean_anomaly_unc:d period_unc:d mean_motion_unc:d "
-    "epoch_mjd:d h:d g:d not_normalized_rms:d normalized_rms:d earth_moid:d fitting_datetime:t"
+    """
+    id int
+    designation string
+    packed_primary_provisional_designation string
+    unpacked_primary_provisional_designation string
+    mpc_orb_jsonb string
+    created_at timestamp_ntz
+    updated_at timestamp_ntz
+    orbit_type_int int
+    u_param int
+    nopp int
+    arc_length_total double
+    arc_length_sel double
+    nobs_total int
+    nobs_total_sel int
+    a double
+    q double
+    e double
+    i double
+    node double
+    argperi double
+    peri_time double
+    yarkovsky double
+    srp double
+    a1 double
+    a2 double
+    a3 double
+    dt double
+    mean_anomaly double
+    period double
+    mean_motion double
+    a_unc double
+    q_unc double
+    e_unc double
+    i_unc double
+    node_unc double
+    argperi_unc double
+    peri_time_unc double
+    yarkovsky_unc double
+    srp_unc double
+    a1_unc double
+    a2_unc double
+    a3_unc double
+    dt_unc double
+    mean_anomaly_unc double
+    period_unc double
+    mean_motion_unc double
+    epoch_mjd double
+    h double
+    g double
+    not_normalized_rms double
+    normalized_rms double
+    earth_moid double
+    fitting_datetime timestamp_ntz
+    """
 )
 CURRENT_IDENTIFICATIONS = _table(
-    "id:i packed_primary_provisional_designation:s packed_secondary_provisional_designation:s unpacked_primary_provisional_designation:s unpacked_secondary_provisional_designation:s "
-    "published:b identifier_ids:z object_type:i numbered:b created_at:t updated_at:t"
+    """
+    id int
+    packed_primary_provisional_designation string
+    packed_secondary_provisional_designation string
+    unpacked_primary_provisional_designation string
+    unpacked_secondary_provisional_designation string
+    published boolean
+    identifier_ids array<string>
+    object_type int
+    numbered boolean
+    created_at timestamp_ntz
+    updated_at timestamp_ntz
+    """
 )
 NUMBERED_IDENTIFICATIONS = _table(
-    "id:i packed_primary_provisional_designation:s unpacked_primary_provisional_designation:s permid:s iau_designation:s iau_name:s numbered_publication_references:z "
-    "named_publication_references:z naming_credit:s created_at:t updated_at:t"
+    """
+    id int
+    packed_primary_provisional_designation string
+    unpacked_primary_provisional_designation string
+    permid string
+    iau_designation string
+    iau_name string
+    numbered_publication_references array<string>
+    named_publication_references array<string>
+    naming_credit string
+    created_at timestamp_ntz
+    updated_at timestamp_ntz
+    """
 )
 TABLES = {
     "SSObject": SS_OBJECT,
