@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import sys
 from collections.abc import Sequence
+from contextlib import nullcontext
 
 from skylattice.session import session
 from skylattice.sinks import writers
@@ -31,11 +32,15 @@ def export(argv: Sequence[str] | None = None) -> int:
     if a.views:
         for view, path in view_paths(spark, a.views).items():
             spark.read.parquet(path).createOrReplaceTempView(view)
-        read = spark.sql
     else:
         connection = readers.Connection(a.dsn, a.service, a.host, a.port, a.dbname, a.user, a.password)
-        read = lambda sql: readers.jdbc_query(spark, connection, sql, snapshot=a.snapshot)
-    for out in writers.export(read, specs, a.row_group_size, "overwrite" if a.overwrite else "errorifexists"):
+        # several queries see one state of the database
+        own = readers.shared_snapshot(lambda: readers.JdbcSession(spark, connection)) if len(specs) > 1 and not a.snapshot else nullcontext(a.snapshot)
+        with own as snapshot:
+            written = writers.export(lambda sql: readers.jdbc_query(spark, connection, sql, snapshot=snapshot), specs, a.row_group_size, "overwrite" if a.overwrite else "errorifexists")
+        print(*written, sep="\n")
+        return 0
+    for out in writers.export(spark.sql, specs, a.row_group_size, "overwrite" if a.overwrite else "errorifexists"):
         print(out)
     return 0
 

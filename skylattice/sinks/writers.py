@@ -12,7 +12,6 @@ from skylattice.functions import times
 from skylattice.sources.readers import ExportSpec
 
 ROW_GROUP_ROWS = 1_000_000
-FILE_ROWS = 10_000_000
 
 
 def write_parquet(df: DataFrame, out: str, row_group_rows: int | None = ROW_GROUP_ROWS, file_rows: int | None = None, files: int | None = None, partition_by: Iterable[str] = (), compression: str = "zstd", mode: str = "errorifexists") -> str:

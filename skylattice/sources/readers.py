@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from pathlib import Path
 from urllib.parse import parse_qsl, unquote, urlsplit
@@ -165,12 +166,70 @@ class Connection:
         return {"url": url, "driver": "org.postgresql.Driver"} | {k: s[k] for k in ("user", "password") if k in s}
 
 
-def jdbc_query(spark: SparkSession, connection: Connection, sql: str, fetch_size: int = 10_000, snapshot: str | None = None) -> DataFrame:
-    """A query's rows through one cursor; `snapshot` is an exported snapshot that several reads share."""
-    options = connection.options() | {"query": sql, "fetchsize": str(fetch_size)}
+@dataclass(frozen=True)
+class Split:
+    """A read in `parts` ranges of a numeric column, each its own task; values beyond the bounds fall into the outer ranges."""
+
+    column: str
+    low: int
+    high: int
+    parts: int
+
+
+def jdbc_options(connection: Connection, sql: str, fetch_size: int = 10_000, snapshot: str | None = None, split: Split | None = None, env: dict[str, str] | None = None) -> dict[str, str]:
+    """What Spark's reader needs to know: through one cursor, or with `split` through one for each range."""
+    options = connection.options(env) | {"fetchsize": str(fetch_size)}
+    if split:
+        options |= {"dbtable": f"({sql.strip().rstrip(';')}) AS q", "partitionColumn": split.column, "lowerBound": str(split.low), "upperBound": str(split.high), "numPartitions": str(split.parts)}
+    else:
+        options["query"] = sql.strip().rstrip(";")
     if snapshot:
+        if not re.fullmatch(r"[0-9A-Fa-f-]+", snapshot):
+            raise ValueError("not a snapshot's name")
         options["sessionInitStatement"] = f"BEGIN ISOLATION LEVEL REPEATABLE READ; SET TRANSACTION SNAPSHOT '{snapshot}'"
-    return spark.read.format("jdbc").options(**options).load()
+    return options
+
+
+def jdbc_query(spark: SparkSession, connection: Connection, sql: str, fetch_size: int = 10_000, snapshot: str | None = None, split: Split | None = None) -> DataFrame:
+    """A query's rows; `snapshot` is an exported snapshot that several reads share."""
+    return spark.read.format("jdbc").options(**jdbc_options(connection, sql, fetch_size, snapshot, split)).load()
+
+
+class JdbcSession:
+    """One database session on the driver, for the few statements that frame an export."""
+
+    def __init__(self, spark: SparkSession, connection: Connection) -> None:
+        o = connection.options()
+        jvm = spark.sparkContext._jvm
+        jvm.java.lang.Class.forName(o["driver"])
+        self.jdbc = jvm.java.sql.DriverManager.getConnection(o["url"], o.get("user"), o.get("password"))
+        self.jdbc.setAutoCommit(True)
+
+    def run(self, sql: str) -> str | None:
+        """The first value that a statement gives, if any."""
+        statement = self.jdbc.createStatement()
+        if not statement.execute(sql):
+            return None
+        found = statement.getResultSet()
+        return found.getString(1) if found.next() else None
+
+    def close(self) -> None:
+        self.jdbc.close()
+
+
+@contextmanager
+def shared_snapshot(open_session: Callable[[], JdbcSession]) -> Iterator[str]:
+    """The name of a snapshot that all reads within the block can share: its transaction stays open until the block ends."""
+    session = open_session()
+    try:
+        session.run("BEGIN ISOLATION LEVEL REPEATABLE READ READ ONLY")
+        yield session.run("SELECT pg_export_snapshot()")
+        session.run("COMMIT")
+    except BaseException:
+        session.run("ROLLBACK")
+        raise
+    finally:
+        session.close()
 
 
 def probe(spark: SparkSession, sql: str) -> T.StructType:

@@ -308,3 +308,36 @@ def test_remote_ephemeris_asks_in_chunks(spark):
     schema = T.StructType([T.StructField("designation", T.StringType()), T.StructField("mjd", T.DoubleType()), T.StructField("asked", T.LongType())])
     got = remote_ephemeris(spark.createDataFrame(rows_, "designation string, mjd double"), lambda who, at: pd.DataFrame({"designation": who, "mjd": at, "asked": len(at)}), schema).collect()
     assert len(got) == 131 and sorted({(r.designation, r.asked) for r in got}) == [("a", 10), ("a", 60), ("b", 1)]
+
+
+def test_database_reads_share_a_snapshot_and_split():
+    from skylattice.sources.readers import Connection, Split, jdbc_options, shared_snapshot
+
+    c = Connection(host="h", dbname="d", user="u")
+    whole = jdbc_options(c, "SELECT * FROM t;", env={})
+    assert whole["query"] == "SELECT * FROM t" and "numPartitions" not in whole and whole["fetchsize"] == "10000"
+    split = jdbc_options(c, "SELECT * FROM t", snapshot="00000003-0000001B-1", split=Split("id", 0, 100, 4), env={})
+    assert split["dbtable"] == "(SELECT * FROM t) AS q" and split["numPartitions"] == "4" and split["partitionColumn"] == "id" and "query" not in split
+    assert split["sessionInitStatement"].endswith("SET TRANSACTION SNAPSHOT '00000003-0000001B-1'")
+    with pytest.raises(ValueError):
+        jdbc_options(c, "SELECT 1", snapshot="x'; DROP TABLE t; --", env={})
+
+    class Fake:
+        def __init__(self):
+            self.said = []
+
+        def run(self, sql):
+            self.said.append(sql.split()[0])
+            return "1-2" if "pg_export_snapshot" in sql else None
+
+        def close(self):
+            self.said.append("closed")
+
+    session = Fake()
+    with shared_snapshot(lambda: session) as name:
+        assert name == "1-2" and session.said == ["BEGIN", "SELECT"]
+    assert session.said == ["BEGIN", "SELECT", "COMMIT", "closed"]
+    session = Fake()
+    with pytest.raises(KeyError), shared_snapshot(lambda: session):
+        raise KeyError
+    assert session.said == ["BEGIN", "SELECT", "ROLLBACK", "closed"]
