@@ -7,17 +7,26 @@ from pyspark.sql import functions as F
 
 from skylattice.llm._shared import Scratch
 
+#: A hub's edges are dealt over so many tasks.
+SALTS = 64
+
+
+def _with_least(edges: DataFrame) -> DataFrame:
+    """The edges (u, v), each with m, the smallest v of its u. A hub's edges are brought together by parts, never in one task."""
+    edges = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    parts = edges.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    told = parts.select("u", "salt").join(parts.groupBy("u").agg(F.min("m").alias("m")), "u")
+    return edges.join(told, ["u", "salt"])
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return _with_least(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    # the edge to the smallest one stays; of the others the far ends get one to it
+    return _with_least(edges).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct()
 
 
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:

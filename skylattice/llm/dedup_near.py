@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylattice.llm import _graph, _text
-from skylattice.llm._shared import Scratch, cut, documents
+from skylattice.llm._shared import Scratch, counted_join, cut, documents
 
 WORDS = 5
 COORDINATES = 48
@@ -128,12 +128,13 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(_sign, "doc_id long, n_shingles long, mark long, mark2 long, signature array<int>, sketch binary")
 
 
-def postings(classes: DataFrame) -> DataFrame:
+def postings(scratch: Scratch, classes: DataFrame) -> DataFrame:
     """Of the classes (rep, signature) that can have a partner: rep and the coordinate-value pairs to post, rarest first."""
     token = F.shiftleft(F.col("at").cast("long"), 32) + F.col("value").cast("long") + F.lit(1 << 31)
     tokens = classes.select("rep", F.posexplode("signature").alias("at", "value")).select("rep", token.alias("token"))
-    frequent = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = tokens.join(frequent, "token").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("shared"))
+    # n is what the join goes by, times what the order does
+    frequent = scratch.table(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("times", F.col("n")))
+    shared = counted_join(tokens, frequent, ["token"]).groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("times", "token"))).alias("shared"))
     # the pairs that no other class has come first in the order; they fill that many places of the prefix
     prefix = F.slice("shared", F.lit(1), F.size("shared") - (MATCHES - 1))
     return shared.where(F.size("shared") >= MATCHES).select("rep", F.transform(prefix, lambda s: s["token"]).alias("tokens"))
@@ -238,7 +239,7 @@ def _name_pairs(every: bool, wide: bool):
     return run
 
 
-def candidates(posted: DataFrame, classes: DataFrame, stars: DataFrame | None, every: bool, wide: bool, salt: int) -> DataFrame:
+def candidates(scratch: Scratch, posted: DataFrame, classes: DataFrame, stars: DataFrame | None, every: bool, wide: bool, salt: int) -> DataFrame:
     """(u, v, more): pairs of different components that agree in MATCHES coordinates; more: some of a list were not named.
 
     posted: (rep, tokens); classes: (rep, n_shingles, signature, sketch). Of a list that is split only blocks meet themselves, unless `wide`;
@@ -249,8 +250,9 @@ def candidates(posted: DataFrame, classes: DataFrame, stars: DataFrame | None, e
     else:
         labelled = posted.join(stars.select(F.col("u").alias("rep"), F.col("v").alias("comp")), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     rows = labelled.select("rep", "comp", F.explode("tokens").alias("token"))
-    open_lists = rows.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token", F.pow(F.lit(2), F.ceil(F.log2(F.ceil(F.col("n") / BLOCK)))).cast("int").alias("blocks"))
-    rows = rows.drop("comp").join(open_lists, "token")
+    open_lists = rows.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    open_lists = scratch.table(open_lists.select("token", "n", F.pow(F.lit(2), F.ceil(F.log2(F.ceil(F.col("n") / BLOCK)))).cast("int").alias("blocks")))
+    rows = counted_join(rows.drop("comp"), open_lists, ["token"])
     if not wide:
         order = F.struct((F.col("blocks") > 1).alias("long"), F.xxhash64("token", F.lit(salt)).alias("place"), "token", "blocks")
         lists = rows.groupBy("rep").agg(F.array_sort(F.collect_list(order)).alias("lists"))  # no more than a prefix has
@@ -312,29 +314,33 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     with Scratch(docs.sparkSession, "near") as scratch:
         signed = scratch.table(signatures(rows))
         sets = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-        classes = sets.groupBy("mark", "mark2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"))
+        classes = sets.groupBy("mark", "mark2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("n"))
         classes = scratch.table(classes)
-        posted = scratch.table(postings(classes.select("rep", "signature")))
+        with Scratch(docs.sparkSession, "tokens") as counts:
+            posted = scratch.table(postings(counts, classes.select("rep", "signature")))
         texts = rows.withColumnRenamed("doc_id", "rep").join(posted.select("rep").distinct(), "rep", "left_semi")
         texts = scratch.table(texts.groupBy("rep").agg(F.min("text").alias("text")))
         stars = _rounds(scratch, posted, classes, texts)
         scratch.drop(texts, posted)
-        known = classes.select("mark", "mark2", F.col("n_shingles").alias("n"), "rep")
+        known = classes.select("mark", "mark2", "n_shingles", "n", "rep")
         if stars is not None:
             known = known.join(stars.select(F.col("u").alias("rep"), F.col("v").alias("root")), "rep", "left")
         else:
             known = known.withColumn("root", F.col("rep"))
-        same = (F.col("s.mark") == F.col("k.mark")) & (F.col("s.mark2") == F.col("k.mark2")) & (F.col("s.n_shingles") == F.col("k.n")) & F.col("s.doc_id").isNotNull()
-        joined = signed.select("doc_id", "n_shingles", "mark", "mark2").alias("s").join(known.alias("k"), same, "left")
-        component = F.coalesce("root", "rep", "doc_id")
-        return cut(joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), F.coalesce("rep", "doc_id").alias("class_id")))
+        # marks of empty sets are 0, which classes don't have
+        members = signed.select("doc_id", "n_shingles", "mark", "mark2")
+        joined = counted_join(members, scratch.table(known), ["mark", "mark2", "n_shingles"], "left")
+        has = F.col("doc_id").isNotNull()
+        component = F.when(has, F.coalesce("root", "rep", "doc_id"))
+        return cut(joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), F.when(has, F.coalesce("rep", "doc_id")).alias("class_id")))
 
 
 def _rounds(scratch: Scratch, posted: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame | None:
     """(u, v): the linked classes, each with its component's smallest one; None without links."""
     stars, tested, every, wide, salt = None, [], False, False, 0
     while True:
-        found = scratch.table(candidates(posted, classes, stars, every, wide, salt))
+        with Scratch(scratch.spark, "lists") as counts:
+            found = scratch.table(candidates(counts, posted, classes, stars, every, wide, salt))
         more = not found.where("more").isEmpty()
         new = found.where("u IS NOT NULL").select("u", "v")
         for old in tested:

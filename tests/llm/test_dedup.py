@@ -106,11 +106,12 @@ def families():
     return texts
 
 
-@pytest.mark.parametrize("block", [1024, 16])
-def test_near_equals_plain(spark, monkeypatch, block):
-    from skylattice.llm import dedup_near
+@pytest.mark.parametrize(("block", "hot"), [(1024, 4096), (16, 4096), (1024, 1), (16, 40)])
+def test_near_equals_plain(spark, monkeypatch, block, hot):
+    from skylattice.llm import _shared, dedup_near
 
     monkeypatch.setattr(dedup_near, "BLOCK", block)
+    monkeypatch.setattr(_shared, "HOT_KEYS", hot)
     rows = list(enumerate(families()))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     sets = plain_sets(rows)
@@ -132,3 +133,37 @@ def test_near_on_tables(spark, odd, empty):
     loose = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f")], "doc_id long, text string")
     assert sorted(tuple(r)[:4] for r in dedup_near.link(loose).collect() if r.doc_id) == [(4, 2, 4, True)] * 2
     assert dedup_near.link(loose).count() == 4
+
+
+@pytest.mark.parametrize("hot", [1, 5, 4096])
+def test_counted_join_is_the_join(spark, monkeypatch, hot):
+    from skylattice.llm import _shared
+
+    monkeypatch.setattr(_shared, "HOT_KEYS", hot)
+    rows = spark.createDataFrame([(k, 0 if k % 3 else k % 7) for k in range(200)] + [(900, None), (901, 77)], "id long, a long")
+    counts = rows.where("a < 5").groupBy("a").agg(F.count(F.lit(1)).alias("n")).withColumn("b", F.col("a") * 10)
+    for how in ("inner", "left"):
+        want = sorted(map(str, rows.join(counts.drop("n"), "a", how).select("id", "a", "b").collect()))
+        assert sorted(map(str, _shared.counted_join(rows, counts, ["a"], how).select("id", "a", "b").collect())) == want
+
+
+def test_components_of_hubs_and_chains(spark):
+    from skylattice.llm import _graph
+    from skylattice.llm._shared import Scratch
+
+    rnd = random.Random(4)
+    edges = [(5000, k) for k in range(4000, 4300)] + [(7, k) for k in range(3000, 3300)] + [(3100, 4100)]
+    edges += [(k, k + 1) for k in range(100, 160)] + [(rnd.randint(200, 400), rnd.randint(200, 400)) for _ in range(150)]
+    root = {x: x for e in edges for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    with Scratch(spark, "graph") as scratch:
+        got = {r.u: r.v for r in _graph.components(scratch, spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {x: find(x) for x in root if find(x) != x}
