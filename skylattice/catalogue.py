@@ -610,6 +610,44 @@ def sssource_full(spark, sf):
     return catalogs.build_sssource(*_survey(spark, sf))
 
 
+_ECLIPTIC_GALACTIC = [[" + ".join(f"({v!r})::DOUBLE * {axis}" for v, axis in zip(row, "abc", strict=True)) for row in matrix] for matrix in (sky.ECLIPTIC, sky.GALACTIC)]
+_PACKED = " + ".join(f"(ascii(substr(lpad('K' || object_id::VARCHAR, 8, ' '), {k + 1}, 1))::BIGINT << {8 * k})" for k in range(8))
+
+
+def _lon_lat(lon: str, lat: str, rows: list[str]) -> str:
+    return f"{m(f'((degrees(atan2({rows[1]}, {rows[0]})) % 360) + 360) % 360')} AS {lon}, {m(f'degrees(asin(greatest(-1::DOUBLE, least(1::DOUBLE, {rows[2]}))))')} AS {lat}"
+
+
+@query(
+    with_views(A.SOURCES, A.SKY, A.ORBITS)
+    + f"""SELECT source_id AS source, {_PACKED} AS object, 'P' || object_id::VARCHAR AS designation, {_lon_lat("ecl_lon", "ecl_lat", _ECLIPTIC_GALACTIC[0])}, {_lon_lat("gal_lon", "gal_lat", _ECLIPTIC_GALACTIC[1])}
+FROM (SELECT *, cos(radians(dec)) * cos(radians(ra)) AS a, cos(radians(dec)) * sin(radians(ra)) AS b, sin(radians(dec)) AS c FROM sky) JOIN orbits USING (object_id)"""
+)
+def sssource_identity_and_place(spark, sf):
+    """The per-source catalogue's columns that need no ephemeris."""
+    built = catalogs.build_sssource(*_survey(spark, sf), check=False)
+    places = {"ecl_lon": "eclLambda", "ecl_lat": "eclBeta", "gal_lon": "galLon", "gal_lat": "galLat"}
+    return built.select(F.col("diaSourceId").alias("source"), F.col("ssObjectId").alias("object"), "designation", *[micro(F.col(c)).alias(n) for n, c in places.items()])
+
+
+@query(
+    with_views(A.SOURCES, A.ORBITS)
+    + f"""SELECT {_PACKED} AS object, 'P' || object_id::VARCHAR AS designation, count(*)::INT AS n_obs, {m("min(mjd)")} AS first_mjd, {m("max(mjd) - min(mjd)")} AS arc,
+min(k) AS ext_min, max(k) AS ext_max, {m("median(k / 100::DOUBLE)")} AS ext_median, {", ".join(f"count(*) FILTER (band = '{b}')::INT AS {b}_n_obs" for b in schemas.BANDS)}
+FROM sources JOIN orbits USING (object_id) GROUP BY object_id"""
+)
+def ssobject_aggregates(spark, sf):
+    """The per-object catalogue's aggregates, through the association and the per-source catalogue."""
+    dia, obs, numbered, current, orbit = _survey(spark, sf)
+    sss = catalogs.build_sssource(dia, obs, numbered, current, orbit, check=False)
+    rows = catalogs.object_aggregates(catalogs.observations(sss, dia))
+    hundredths = [F.round(F.col(f"extendedness{c}") * 100).cast("int").alias(f"ext_{c.lower()}") for c in ("Min", "Max")]
+    return rows.select(
+        F.col("ssObjectId").alias("object"), "designation", F.col("nObs").alias("n_obs"), micro(F.col("firstObservationMjdTai")).alias("first_mjd"), micro(F.col("arc")).alias("arc"),
+        *hundredths, micro(F.col("extendednessMedian")).alias("ext_median"), *[F.col(f"{b}_nObs").alias(f"{b}_n_obs") for b in schemas.BANDS],
+    )
+
+
 @query()
 def ssobject_full(spark, sf):
     dia, obs, numbered, current, orbit = _survey(spark, sf)

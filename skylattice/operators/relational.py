@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,16 +78,20 @@ def require(check: DataFrame, *zero: str) -> None:
         raise AssertionError(f"check failed: {bad}")
 
 
-def contiguity(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Per key, how many runs of it the order has; a grouped input has 1 for all. Runs are found within range partitions,
-    whose edges are compared afterwards, so no task sees the whole order."""
-    dealt = df.select(F.col(key).alias("k"), F.col(order).alias("o")).repartitionByRange("o").sortWithinPartitions("o").withColumn("part", F.spark_partition_id())
+def contiguity(df: DataFrame, key: str, order: str, ranges: int = 64) -> DataFrame:
+    """Per key, how many runs of it the order (numbers or times) has; a grouped input has 1 for all. Runs are found within
+    ranges of the order, whose edges are compared afterwards, so no task sees the whole order. The ranges' bounds are asked
+    for once, so both steps see the same ranges whenever they are run."""
+    rows = df.select(F.col(key).alias("k"), F.col(order).alias("o"))
+    bounds = rows.select(F.percentile_approx("o", [n / ranges for n in range(1, ranges)])).first()[0] or []
+    dealt = rows.withColumn("part", reduce(lambda total, b: total + F.coalesce((F.col("o") >= F.lit(b)).cast("int"), F.lit(0)), sorted(set(bounds)), F.lit(0)))
     within = Window.partitionBy("part").orderBy("o")
-    starts = dealt.withColumn("new", F.coalesce(~F.lag("k").over(within).eqNullSafe(F.col("k")), F.lit(True)))
+    starts = dealt.withColumn("new", F.coalesce(~F.lag("k").over(within).eqNullSafe(F.col("k")) | (F.row_number().over(within) == 1), F.lit(True)))
     edges = dealt.groupBy("part").agg(F.min_by("k", "o").alias("first"), F.max_by("k", "o").alias("last"))
-    joined = edges.withColumn("same", F.lag("last").over(Window.orderBy("part")).eqNullSafe(F.col("first"))).where("same").groupBy(F.col("first").alias("k")).agg(F.count(F.lit(1)).alias("bridged"))
+    before = F.row_number().over(Window.orderBy("part")) > 1  # ranges are few, whatever the rows
+    bridged = edges.withColumn("same", before & F.lag("last").over(Window.orderBy("part")).eqNullSafe(F.col("first"))).where("same").groupBy(F.col("first").alias("b")).agg(F.count(F.lit(1)).alias("bridged"))
     runs = starts.where("new").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    return runs.join(joined, "k", "left").select(F.col("k").alias(key), (F.col("n") - F.coalesce("bridged", F.lit(0))).alias("runs"))
+    return runs.join(bridged, F.col("k").eqNullSafe(F.col("b")), "left").select(F.col("k").alias(key), (F.col("n") - F.coalesce("bridged", F.lit(0))).alias("runs"))
 
 
 def exact_sample(df: DataFrame, key: str, n: int) -> DataFrame:
