@@ -8,6 +8,7 @@ others, `distinct` compares the bytes as well.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Callable, Iterator
 
@@ -38,6 +39,17 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+#: glibc's call that hands freed memory back to the system; None with other libraries.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """A worker lives on beside the executor's other work, so it doesn't hold what a batch no longer needs."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive rows holding about `limit` bytes of text, at least one row each."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False))
@@ -47,6 +59,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
         yield batch.slice(at, to - at)
         at = to
+    give_back()
 
 
 def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
