@@ -8,16 +8,11 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: Whether Spark deletes a query's shuffle files when the query has ended.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-#: A key that more than one in so many rows have is hot; there are fewer hot keys than this, whatever the rows.
-HOT_KEYS = 4096
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -92,15 +87,3 @@ class Scratch:
         for table in tables:
             if table is not None and id(table) in self.folders:
                 delete(self.spark, self.folders.pop(id(table))[1])
-
-
-def counted_join(rows: DataFrame, counts: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """`rows` with the other columns of `counts`: a written table with a row per key and `n`, how many of `rows` have the key.
-
-    Hot keys are told by n. As fewer than HOT_KEYS keys can have more than that share of the rows, they are broadcast, and
-    their rows stay where they are; the other keys meet their rows by a shuffle. `how` is inner or left. The result has no n.
-    """
-    hot = F.col("n") * HOT_KEYS > F.lit(counts.agg(F.sum("n")).first()[0] or 0)
-    here = rows.join(F.broadcast(counts.where(hot).drop("n")), keys)
-    rest = rows.join(F.broadcast(counts.where(hot).select(*keys)), keys, "left_anti")
-    return here.unionByName(rest.join(counts.where(~hot).drop("n"), keys, how))
