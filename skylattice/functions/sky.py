@@ -50,8 +50,8 @@ def wrap(degrees: Column) -> Column:
 
 
 def wrap_difference(degrees: Column) -> Column:
-    """Into [-180, 180)."""
-    return F.pmod(degrees + 180.0, F.lit(360.0)) - 180.0
+    """Into [-180, 180); a turn is added whatever the sign, as in SQL: pmod adds it to negative angles only, which rounds otherwise in the last bits."""
+    return ((degrees + 180.0) % 360.0 + 360.0) % 360.0 - 180.0
 
 
 def separation(ra1: Column, dec1: Column, ra2: Column, dec2: Column) -> Column:

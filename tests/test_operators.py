@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import json
 
 import pyarrow.parquet as pq
@@ -341,3 +342,17 @@ def test_database_reads_share_a_snapshot_and_split():
     with pytest.raises(KeyError), shared_snapshot(lambda: session):
         raise KeyError
     assert session.said == ["BEGIN", "SELECT", "ROLLBACK", "closed"]
+
+
+def test_observed_minus_predicted_rounds_as_its_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    # ids and k of sf0.1 whose offsets lie so near a half millionth that the last bits of the wrapped angle decide; then turns, negative angles and no angle
+    keys = [(1522, 75), (7736, 16), (14025, 78), (23397, 73), (26547, 75), (38376, 9), (67367, 50), (89933, 94), (98957, 17)]
+    keys += [(100001 + n, k) for n, k in enumerate((0, 179999, 180000, 180001, 360016, 899999, -1, -16, -179999, -180000, -180001, -540009, None))]
+    at = datetime.datetime(2024, 1, 1)
+    data = [(n, at, n % 150, "click", 1.0, "{}" if k is None else json.dumps({"k": k})) for n, k in keys]
+    spark.createDataFrame(data, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    want = con.execute(catalogue.SQL["observed_minus_predicted"]).fetchall()
+    assert len(want) == len(keys) and rows(catalogue.observed_minus_predicted(spark, str(tmp_path))) == sorted(want, key=str)
