@@ -5,10 +5,15 @@ non-whitespace, or from a letter to a mark, so a text's ids are the ids of its c
 chunk of a slice is encoded once, or found among those of earlier slices, whose bytes are compared. Many chunks go to the library as one string, with a special token between them, at which it
 splits before it does anything else. A special token written out in a text is one id, as the library has it by default; a text
 that holds one goes to the library whole and alone.
+
+A vocabulary with the normalizer and pre-tokenizer of FOLDED lower-cases, and splits between letters and marks as well. Its
+chunks are folded and cut there, so that fewer differ, and those of letters alone need no special token between them: each
+is one pre-token, whose last id is one of a word's end. A string that has not as many ends as chunks is encoded in the other way.
 """
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
@@ -21,6 +26,30 @@ _JOINED = 256
 #: Chunks that a worker process remembers at most, and the longest of them.
 _REMEMBERED = 500_000
 _LONGEST = 64
+#: Normalizers and pre-tokenizers by whose rules chunks may be folded and cut at marks.
+FOLDED = (
+    [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+)
+
+
+def _last_ids(tokenizer) -> np.ndarray | None:
+    """Of each id whether it ends a word, if the vocabulary is one of FOLDED whose words all have such an end; otherwise None."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    rules = json.loads(tokenizer.to_str())
+    model, split = rules["model"], tuple((rules[k] or {}).get(f"{k.replace('_', '')}s") for k in ("normalizer", "pre_tokenizer"))
+    end, vocabulary = model.get("end_of_word_suffix"), model["vocab"]
+    if split != FOLDED or not end or any(model.get(k) for k in ("dropout", "continuing_subword_prefix")):
+        return None
+    if any(c + e not in vocabulary for c in ByteLevel.alphabet() for e in ("", end)):
+        return None
+    last = np.zeros(tokenizer.get_vocab_size(), bool)
+    last[[k for token, k in vocabulary.items() if token.endswith(end)]] = True
+    return last
 
 
 class _Known:
@@ -62,7 +91,8 @@ class ChunkEncoder:
         added = {k: t.content.encode() for k, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special = list(added.values())
         self.mark = next(((k, t) for k, t in added.items() if self._ids(["a" + t.decode() + "b"])[0] == [*self._ids(["a"])[0], k, *self._ids(["b"])[0]]), None)
-        self.find = _text.chunks if spaces else _text.words
+        self.last = None if spaces else _last_ids(self.tokenizer)
+        self.find = _text.chunks if spaces else _text.words if self.last is None else _text.runs
         self.known = _Known()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -70,9 +100,25 @@ class ChunkEncoder:
 
     def _each(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids of all strings, and where each one's begin and how many they are."""
-        odd = [k for k, x in enumerate(keys) if self.mark is None or len(x) >= min(map(len, self.special)) and any(t in x for t in self.special)]
-        plain = sorted(set(range(len(keys))) - set(odd)) if odd else range(len(keys))
-        ids, lengths, at = [np.zeros(0, np.int32)], np.zeros(len(keys), np.int64), [*plain, *odd]
+        ids, lengths, at, left = [np.zeros(0, np.int32)], np.zeros(len(keys), np.int64), [], range(len(keys))
+        if self.last is not None and keys:
+            # a text that holds a special token may hold line ends, then all go the other way
+            texts = b"\n".join(keys).decode().split("\n")
+            alpha = list(map(str.isalpha, texts)) if len(texts) == len(keys) else []
+            letters, left = [k for k, x in enumerate(alpha) if x], [k for k, x in enumerate(alpha) if not x] if alpha else left
+            groups = [letters[a : a + _JOINED] for a in range(0, len(letters), _JOINED)]
+            for group, found in zip(groups, self._ids([b" ".join([keys[k] for k in group]).decode() for group in groups]), strict=True):
+                flat = np.array(found, np.int32)
+                ends = np.flatnonzero(self.last[flat])
+                if len(ends) == len(group):
+                    lengths[group] = np.diff(ends, prepend=-1)
+                    ids.append(flat)
+                    at += group
+                else:
+                    left += group
+        least = min(map(len, self.special), default=0)
+        odd = [k for k in left if self.mark is None or len(keys[k]) >= least and any(t in keys[k] for t in self.special)]
+        plain = sorted(set(left) - set(odd)) if odd else list(left)
         if self.mark is not None:
             k, mark = self.mark
             joined = [mark.join([keys[x] for x in plain[a : a + _JOINED]] + [b""]).decode() for a in range(0, len(plain), _JOINED)]
@@ -84,6 +130,7 @@ class ChunkEncoder:
         for k in odd:
             ids.append(np.array(self._ids([keys[k].decode()])[0], np.int32))
             lengths[k] = len(ids[-1])
+        at += [*plain, *odd]
         starts = np.zeros(len(keys), np.int64)
         starts[at] = np.cumsum(lengths[at]) - lengths[at]
         return np.concatenate(ids), starts, lengths
@@ -108,6 +155,11 @@ class ChunkEncoder:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids (int32) of all documents, one after the other, and how many each document has."""
         n, raw = len(offsets) - 1, data.tobytes()
+        if self.last is not None:
+            folded = _text.folded(data)
+            other = folded.tobytes()
+            if all(raw.count(t) == other.count(t) for t in self.special):  # otherwise folding would write a special token
+                data, raw = folded, other
         doc, starts, ends = self._spans(data, offsets, raw)
         if not len(doc):
             return np.zeros(0, np.int32), np.zeros(n, np.int64)

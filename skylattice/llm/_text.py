@@ -147,6 +147,29 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.searchsorted(offsets, starts, "right") - 1, starts, ends
 
 
+def folded(data: np.ndarray) -> np.ndarray:
+    """A-Z in lower case, but where a byte follows that may begin a mark which joins the letter."""
+    out = LOWER[data]
+    stay = np.flatnonzero(data[1:] >= 0x80)
+    out[stay] = data[stay]
+    return out
+
+
+def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As words(), with further cuts between an ASCII letter and an ASCII mark, but none after an apostrophe."""
+    doc, starts, ends = words(data, offsets)
+    start, end = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
+    start[starts], end[ends] = True, True
+    for at in range(1, len(data), _WINDOW):
+        part = data[at - 1 : at + _WINDOW]
+        letter, mark = _LETTER[part], _MARK[part]
+        stop = (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:] & (part[:-1] != ord("'")))
+        start[at : at + _WINDOW][: len(stop)] |= stop
+        end[at : at + _WINDOW][: len(stop)] |= stop
+    starts, ends = np.flatnonzero(start), np.flatnonzero(end)
+    return np.searchsorted(offsets, starts, "right") - 1, starts, ends
+
+
 def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """As words(), but each with the whitespace before it, and a document's trailing whitespace as one more.
 

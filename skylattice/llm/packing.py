@@ -17,6 +17,7 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import public_tokenizers
@@ -45,7 +46,8 @@ def _merge(a: list, b: list, windows: int) -> list:
         full = windows - len(b)
         met = [(x[0] + y[0], (x[1], y[1])) for x, y in zip(a[full:], reversed(b[windows - len(a) :]), strict=True)]
         merged = a[:full] + met + b[: windows - len(a)]
-    return sorted(merged, key=lambda x: -x[0])
+    merged.sort(key=itemgetter(0), reverse=True)
+    return merged
 
 
 def differencing(sizes: list[int], windows: int) -> list[tuple[int, object]]:

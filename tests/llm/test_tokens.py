@@ -13,7 +13,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from skylattice.llm import _text, bpe, packing, token_store
+from skylattice.llm import _pieces, _text, bpe, packing, token_store
 from tests_llm_data import SF
 
 
@@ -89,6 +89,30 @@ def test_packing_of_nothing(empty):
     assert packing.pack(empty, public_tokenizers.path("word_bpe_49k.json")).count() == 0
 
 
+def test_word_chunks_are_folded_and_cut_at_marks(monkeypatch):
+    asked = []
+    encoder, each = _pieces.ChunkEncoder(public_tokenizers.path("word_bpe_49k.json"), False), _pieces.ChunkEncoder._each
+    monkeypatch.setattr(_pieces.ChunkEncoder, "_each", lambda self, keys: asked.extend(keys) or each(self, keys))
+    texts = ["Ether ether, (ether) ETHER. don't DON'T", "Aber. aber \u00c9ther \u00e9ther"]
+    got, n = encoder.encode(np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *[len(x.encode()) for x in texts]]))
+    encode = library("word_bpe_49k.json")
+    assert got.tolist() == [k for x in texts for k in encode(x)] and n.tolist() == [len(encode(x)) for x in texts]
+    assert sorted(asked) == sorted(x.encode() for x in ["ether", ",", "(", ")", ".", "don", "'t", "aber", "\u00c9ther", "\u00e9ther"])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_folded_chunks_equal_library(seed):
+    rng = random.Random(seed)
+    parts = list("abHIKTSZ'!.,(<|>-_#019 \n\t\u0301\u0331\u0307\u0345\u00a0\u0085\u0130\u017f\u212a\u00df\u00c5\u0958\u0915\u1100\u1161\u2028\u4e2d\U0001f600")
+    parts += ["'s", "'LL", "'re", "''s", "H\u0331", "J\u030c", "I\u0307", "ether", "Ether", "<|startoftext|>", "<|STARTOFTEXT|>", "<|endOFtext|>"]
+    encoder, encode = _pieces.ChunkEncoder(public_tokenizers.path("word_bpe_49k.json"), False), library("word_bpe_49k.json")
+    for special in (True, False):
+        texts = ["".join(rng.choices(parts if special else parts[:-3], k=rng.randint(0, 30))) for _ in range(400)]
+        got, n = encoder.encode(np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *[len(x.encode()) for x in texts]]))
+        for text, ids in zip(texts, np.split(got, np.cumsum(n)[:-1]), strict=True):
+            assert ids.tolist() == encode(text), text
+
+
 def test_differencing_is_near_equal_and_whole():
     rnd = random.Random(3)
     for _ in range(40):
